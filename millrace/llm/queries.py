@@ -1,7 +1,18 @@
 """Registered queries of this subpackage, and their SQL where it can express them."""
 
 from .decontaminate import OP3_SQL, op3_decontaminate
+from .language import op5_language
 from .licenses import op1_licenses
+from .neardup import OP8_SQL, op8_neardup
+from .quality import op6_quality
+from .substrings import OP4_SQL, op4_substrings
 
-QUERIES = {"op1_licenses": op1_licenses, "op3_decontaminate": op3_decontaminate}
-SQL = {"op3_decontaminate": OP3_SQL}
+QUERIES = {
+    "op1_licenses": op1_licenses,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_substrings": op4_substrings,
+    "op5_language": op5_language,
+    "op6_quality": op6_quality,
+    "op8_neardup": op8_neardup,
+}
+SQL = {"op3_decontaminate": OP3_SQL, "op4_substrings": OP4_SQL, "op8_neardup": OP8_SQL}
