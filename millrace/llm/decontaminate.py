@@ -78,7 +78,7 @@ def covered_words(spans: Column) -> Column:
 def decontaminate(docs: DataFrame, bench: DataFrame, width: int = 10) -> DataFrame:
     """Exact and proximity matches of every benchmark window in every document.
 
-    Returns doc_id, n_words, n_hit (words inside exact occurrences), n_items, items array<string> (sorted), n_near_items (items
+    Returns doc_id, text_hash, n_words, n_hit (words inside exact occurrences), n_items, items array<string> (sorted), n_near_items (items
     with a proximity match, exact ones included), contaminated. A null text has no words. An empty benchmark hits nothing.
     Rows that repeat a doc_id and text get equal results, one for each; rows that share only a doc_id are told apart by text.
     Null item ids are left out. Further columns of either table are ignored."""
@@ -97,7 +97,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, width: int = 10) -> DataFra
     )
     items = F.array_sort(F.transform("hit_items", lambda x: x.cast("string")))
     return each.select(
-        "doc_id", "n_words", covered_words(F.col("spans")).alias("n_hit"), F.size("hit_items").cast("long").alias("n_items"), items.alias("items"),
+        "doc_id", "text_hash", "n_words", covered_words(F.col("spans")).alias("n_hit"), F.size("hit_items").cast("long").alias("n_items"), items.alias("items"),
         F.size("near_items").cast("long").alias("n_near_items"), (F.size("spans") > 0).alias("contaminated"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"),
     ).drop("copy")
 

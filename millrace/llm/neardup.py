@@ -78,11 +78,13 @@ def _sign(batches, size: int):
             n.append(len(s))
             names.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             keys.append(signer.bands(s).view(np.int64) if len(s) else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "set_hash", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(names, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "n_shingles", "set_hash", "bands"])
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    return docs.mapInArrow(partial(_sign, size=size), "doc_id long, n_shingles long, set_hash binary, bands array<long>")
+    """docs: doc_id, text. Adds the hash of the text, by which rows that share a doc_id are told apart."""
+    docs = docs.withColumn("text_hash", F.xxhash64("text"))
+    return docs.mapInArrow(partial(_sign, size=size), "doc_id long, text_hash long, n_shingles long, set_hash binary, bands array<long>")
 
 
 def _sets(batches, size: int):
@@ -154,14 +156,14 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     """Connected components of the documents whose shingle sets have a Jaccard similarity of percent / 100 at least.
 
-    Returns doc_id, n_shingles, component_id (smallest doc_id reachable), kept (the row with that doc_id), one row per input row.
+    Returns doc_id, text_hash, n_shingles, component_id (smallest doc_id reachable), kept (the row with that doc_id), one row per
+    input row.
     Null, empty and wordless texts have no shingles and are linked with nothing. Rows with a null doc_id are linked with nothing, have
     a null component and are kept. Rows that share a doc_id and lead their component are all kept. Extra columns are ignored."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(signatures(docs, size))
     linkable = signed.where("n_shingles > 0 and doc_id is not null")
     classes = linkable.groupBy("set_hash").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    # A doc_id on several rows with different texts stands for all of them at once: its classes are linked through it.
     classes = stored(classes)
     buckets = crowded(classes)
     wanted = buckets.select("id").distinct()
@@ -179,11 +181,11 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
         named = named.join(labels, "id", "left").select("set_hash", F.coalesce("label", "id").alias("id"))
     out = signed.drop("bands").join(named, "set_hash", "left")
     component = F.coalesce("id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def op8_neardup(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 OP8_SQL = r"""
