@@ -4,8 +4,8 @@ Documents with equal shingle sets fall into one class by a 128-bit hash of the s
 hashes its shingles once; bin i keeps the least hash of its range, and an empty bin copies the bin that a fixed random sequence
 names first among those that are not empty. Bands of bins make buckets. A bucket proposes edges from a few centres to its members,
 never pairs among members; edges are confirmed on the full sets. Links that a star can lose (two similar members, neither of them
-a centre) are looked for in further rounds with other centres, in buckets that still hold several components, until a round
-confirms no new link. Components come from alternating large-star and small-star passes over the confirmed links.
+a centre) are looked for in further rounds with other centres, in buckets that still hold several components, until two rounds
+in a row confirm no new link. Components come from alternating large-star and small-star passes over the confirmed links.
 """
 
 from functools import partial
@@ -121,9 +121,13 @@ def star_edges(buckets: DataFrame, labels: DataFrame | None, percent: int, round
     else:
         buckets = buckets.withColumn("label", F.col("id"))
     member = F.struct("id", "n", "label")
-    draws = [F.min_by(member, F.xxhash64("id", "bucket", F.lit(f"{round_no}.{i}"))) for i in range(2)]
-    heads = [F.max_by(member, F.struct("weight", -F.col("id"))), F.min_by(member, F.col("id"))] if labels is None else [F.max_by(member, F.struct(F.xxhash64("label", F.lit(round_no)), "weight", -F.col("id")))]
-    centres = buckets.groupBy("bucket").agg(F.array_distinct(F.array(*heads, *draws)).alias("centres"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    if labels is None:
+        # The same few documents lead a group's buckets in all bands, so that a group of any size has few edges for each member.
+        heads = [F.max_by(member, F.struct("weight", -F.col("id"))), F.min_by(member, F.col("id"))]
+    else:
+        heads = [F.max_by(member, F.struct(F.xxhash64("label", F.lit(round_no)), "weight", -F.col("id")))]
+        heads += [F.min_by(member, F.xxhash64("id", "bucket", F.lit(f"{round_no}.{i}"))) for i in range(2)]
+    centres = buckets.groupBy("bucket").agg(F.array_distinct(F.array(*heads)).alias("centres"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     centres = centres.where("lo <> hi").drop("lo", "hi")
     pairs = buckets.join(centres, "bucket").select("id", "n", "label", F.explode("centres").alias("c"))
     pairs = pairs.where((F.col("id") != F.col("c.id")) & (F.col("label") != F.col("c.label")))
@@ -170,12 +174,16 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     texts = docs.withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi")
     sets = stored(texts.mapInArrow(partial(_sets, size=size), "id long, shingles binary"))
     links = labels = None
-    for round_no in range(1, 1000):
+    round_no = idle = 0
+    while idle < 2:
+        round_no += 1
         new = stored(confirmed(star_edges(buckets, labels, percent, round_no), sets, percent))
-        if new.isEmpty():
-            break
-        links = new if links is None else links.unionByName(new)
-        labels = components(links)
+        idle = idle + 1 if new.isEmpty() else 0
+        if not idle:
+            links = new if links is None else links.unionByName(new)
+            labels = components(links)
+        elif labels is None:
+            labels = buckets.select("id", F.col("id").alias("label")).distinct()
     named = classes.select("set_hash", "id")
     if labels is not None:
         named = named.join(labels, "id", "left").select("set_hash", F.coalesce("label", "id").alias("id"))
