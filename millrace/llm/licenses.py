@@ -82,25 +82,28 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     none = F.array(F.lit(None).cast("struct<template:int,at:int,label:string,n_grams:int>"))
     hits = hits.withColumn("place", F.explode(F.concat(F.when(F.col("base").isNotNull() | (F.col("pos") < 0), none).otherwise(F.array().cast("array<struct<template:int,at:int,label:string,n_grams:int>>")), F.coalesce("places", F.array().cast("array<struct<template:int,at:int,label:string,n_grams:int>>")))))
     hits = hits.select(*key, "pos", "n_words", F.when(F.col("place").isNull(), F.col("base")).alias("base"), F.col("place.template").alias("template"), F.col("place.label").alias("label"), F.col("place.n_grams").alias("n_grams"), F.coalesce(F.col("pos") - F.col("place.at"), F.lit(0)).alias("diagonal"))
+    names = sorted({label for _, label in BASE_PHRASES})
+    bit = F.coalesce(*[F.when(F.col("base") == x, F.lit(1 << i)) for i, x in enumerate(names)], F.lit(0))
     # A row per document and diagonal; every later step keeps this partitioning by document.
     votes = hits.groupBy(*key, "template", "label", "n_grams", "diagonal").agg(
         F.count("*").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.max("n_words").alias("n_words"), F.count("n_words").alias("copies"),
-        F.count("base").alias("n_base"), F.min(F.when(F.col("base").isNotNull(), F.col("pos"))).alias("first_word"), F.max(F.when(F.col("base").isNotNull(), F.col("pos"))).alias("last_word"), F.collect_set("base").alias("bases"),
+        F.count("base").alias("n_base"), F.min(F.when(F.col("base").isNotNull(), F.col("pos"))).alias("first_word"), F.max(F.when(F.col("base").isNotNull(), F.col("pos"))).alias("last_word"), F.bit_or(bit).alias("bases"),
     ).repartition(*key)
     by = Window.partitionBy(*key, "template").orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > max_shift, F.lit(False)).cast("int")
     votes = votes.withColumn("apart", apart).withColumn("cluster", F.sum("apart").over(by.rowsBetween(Window.unboundedPreceding, 0)))
     spans = votes.groupBy(*key, "template", "label", "cluster").agg(
         F.least(F.sum("votes") / F.coalesce(F.first("n_grams"), F.lit(1)), F.lit(1.0)).alias("share"), F.min("first").alias("first"), (F.max("last") + k - 1).alias("last"),
-        *[f(c).alias(c) for c, f in (("n_words", F.max), ("copies", F.sum), ("n_base", F.sum), ("first_word", F.min), ("last_word", F.max))], F.flatten(F.collect_list("bases")).alias("bases"),
+        *[f(c).alias(c) for c, f in (("n_words", F.max), ("copies", F.sum), ("n_base", F.sum), ("first_word", F.min), ("last_word", F.max))], F.bit_or("bases").alias("bases"),
     )
     span = F.when(F.col("template").isNotNull() & (F.col("share") >= min_share), F.struct("label", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), "share"))
     each = spans.groupBy(*key).agg(
         F.max("n_words").alias("n_words"), F.sum("copies").alias("copies"), F.sum("n_base").alias("n_base"), F.min("first_word").cast("long").alias("first_word"), F.max("last_word").cast("long").alias("last_word"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("bases")))).alias("base_labels"), F.sort_array(F.collect_list(span)).alias("spans"), F.max(F.when(F.col("template").isNotNull(), F.col("share"))).alias("best"),
+        F.bit_or("bases").alias("bases"), F.sort_array(F.collect_list(span)).alias("spans"), F.max(F.when(F.col("template").isNotNull(), F.col("share"))).alias("best"),
     )
     # Repeated rows: their hits add up in one group, so counts are divided by the number of copies.
     each = each.withColumn("n_base", F.floor(F.col("n_base") / F.col("copies")).cast("long"))
+    each = each.withColumn("base_labels", F.array_compact(F.array(*[F.when(F.col("bases").bitwiseAND(1 << i) != 0, F.lit(x)) for i, x in enumerate(names)])))
     labels = F.array_sort(F.array_distinct(F.concat("base_labels", F.transform("spans", lambda s: s["label"]))))
     score = F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.col("best"), F.lit(0.0)))
     return each.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", labels.alias("labels"), score.alias("score"), "spans", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).drop("copy")
