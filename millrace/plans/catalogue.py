@@ -1,4 +1,7 @@
 """Every query of the engine by name, and its SQL twin for DuckDB."""
 
-QUERIES = {}
-SQL = {}
+from . import answers, chats, cleaning, passages
+
+_PARTS = (cleaning, passages, answers, chats)
+QUERIES = {name: q for part in _PARTS for name, q in part.QUERIES.items()}
+SQL = {name: s for part in _PARTS for name, s in part.SQL.items()}
