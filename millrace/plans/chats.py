@@ -99,7 +99,7 @@ c AS (SELECT a.key, a.label < 6 AS is_target, CASE WHEN b.key IS NULL THEN 'miss
 LAYERS = [0, 5, 10, 15, 20, 25, 30, 33]
 ATTENTION = ["q_proj", "k_proj", "v_proj", "o_proj"]
 MLP = ["gate_proj", "up_proj", "down_proj"]
-CONTROLS = ["language_model.model.embed_tokens.weight", "language_model.model.norm.weight", "language_model.model.layers.0.input_layernorm.weight", "language_model.model.layers.33.post_attention_layernorm.weight"]
+CONTROLS = ["language_model.model.layers.0.input_layernorm.weight", "language_model.model.norm.weight", "language_model.lm_head.weight", "language_model.model.embed_tokens.weight"]
 
 
 def key_enumeration(spark, sf_dir):
