@@ -3,9 +3,10 @@
 Documents with equal shingle sets fall into one class by a 128-bit hash of the set; only class representatives go on. A document
 hashes its shingles once; bin i keeps the least hash of its range, and an empty bin copies the bin that a fixed random sequence
 names first among those that are not empty. Bands of bins make buckets. A bucket proposes edges from a few centres to its members,
-never pairs among members; edges are confirmed on the full sets. Links that a star can lose (two similar members, neither of them
-a centre) are looked for in further rounds with other centres, in buckets that still hold several components, until two rounds
-in a row confirm no new link. Components come from alternating large-star and small-star passes over the confirmed links.
+never pairs among members; edges are confirmed on the full sets. A star can lose a link between two members that are not centres.
+So documents that share a bucket with another component meet again in buckets of their rarest shingles (two sets of the similarity
+share one of these), where stars from members drawn anew are confirmed until a round finds no new link. Components come from
+alternating large-star and small-star passes over the confirmed links.
 """
 
 from functools import partial
@@ -23,6 +24,9 @@ from .hashing import mixed, word_hashes
 BANDS, ROWS = 45, 6
 BINS = BANDS * ROWS
 _TRIES = 4096
+#: Members up to which the largest component of a bucket is enumerated in the rounds of repair.
+SMALL = 64
+SKETCH_BITS = 16
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -114,24 +118,76 @@ def crowded(reps: DataFrame) -> DataFrame:
     return stored(rows.drop("size").join(weight, "id"))
 
 
-def star_edges(buckets: DataFrame, labels: DataFrame | None, percent: int, round_no: int) -> DataFrame:
-    """Distinct edges (a < b) from a few centres of each bucket to its members; after the first round, between components only."""
-    if labels is not None:
-        buckets = buckets.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    else:
-        buckets = buckets.withColumn("label", F.col("id"))
+def star_edges(buckets: DataFrame, percent: int) -> DataFrame:
+    """Distinct edges (a < b) from two centres of each bucket to its members. The heaviest documents lead a group's buckets in all
+    bands, so that a group of any size has few edges for each member."""
+    member = F.struct("id", "n")
+    heads = F.array_distinct(F.array(F.max_by(member, F.struct("weight", -F.col("id"))), F.min_by(member, F.col("id"))))
+    pairs = buckets.join(buckets.groupBy("bucket").agg(heads.alias("centres")), "bucket").select("id", "n", F.explode("centres").alias("c"))
+    return _edges(pairs, percent)
+
+
+def _sketch(batches):
+    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    for batch in batches:
+        for x in batch.column(0):
+            counts += np.bincount(_sketched(np.frombuffer(x.as_buffer(), np.uint64)), minlength=1 << SKETCH_BITS)
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], names=["at", "count"])
+
+
+def _sketched(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def _rare(batches, counts, percent: int):
+    for batch in batches:
+        ids, ns, keys = [], [], []
+        for i, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            s = np.frombuffer(x.as_buffer(), np.uint64)
+            n = len(s)
+            prefix = s[np.lexsort((s, counts.value[_sketched(s)]))[: n - -(-percent * n // 100) + 1]]
+            keys.append(prefix.view(np.int64))
+            ids.append(np.full(len(prefix), i, np.int64))
+            ns.append(np.full(len(prefix), n, np.int64))
+        columns = [pa.array(np.concatenate(c) if c else [], pa.int64()) for c in (keys, ids, ns)]
+        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "id", "n"])
+
+
+def rare_buckets(buckets: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(bucket, id, n) of the documents that share a band bucket with another component. The buckets are now the rarest shingles of
+    each set, as many as two sets of the similarity must share one of; the order of rarity comes from a counting sketch of fixed size
+    (any order that all documents share is right, a good one only makes small buckets)."""
+    rows = buckets.join(labels, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
+    mixed = rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    open_ = rows.join(mixed, "bucket", "left_semi").select("id").distinct()
+    own = stored(sets.join(open_, "id", "left_semi"))
+    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    for at, n in own.select("shingles").mapInArrow(_sketch, "at int, count long").groupBy("at").agg(F.sum("count")).collect():
+        counts[at] = n
+    value = sets.sparkSession.sparkContext.broadcast(counts)
+    return stored(own.mapInArrow(partial(_rare, counts=value, percent=percent), "bucket long, id long, n long"))
+
+
+def repair_edges(buckets: DataFrame, labels: DataFrame, percent: int, round_no: int) -> DataFrame:
+    """Distinct edges between different components of a bucket: stars from members that are drawn anew in each round. Of the largest
+    component only drawn members count, however many it has."""
+    rows = buckets.join(labels, "id", "left").select("bucket", "id", "n", F.coalesce("label", "id").alias("label"))
     member = F.struct("id", "n", "label")
-    if labels is None:
-        # The same few documents lead a group's buckets in all bands, so that a group of any size has few edges for each member.
-        heads = [F.max_by(member, F.struct("weight", -F.col("id"))), F.min_by(member, F.col("id"))]
-    else:
-        heads = [F.max_by(member, F.struct(F.xxhash64("label", F.lit(round_no)), "weight", -F.col("id")))]
-        heads += [F.min_by(member, F.xxhash64("id", "bucket", F.lit(f"{round_no}.{i}"))) for i in range(2)]
-    centres = buckets.groupBy("bucket").agg(F.array_distinct(F.array(*heads)).alias("centres"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    centres = centres.where("lo <> hi").drop("lo", "hi")
-    pairs = buckets.join(centres, "bucket").select("id", "n", "label", F.explode("centres").alias("c"))
-    pairs = pairs.where((F.col("id") != F.col("c.id")) & (F.col("label") != F.col("c.label")))
-    pairs = pairs.where(100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n"))
+    draws = [F.min_by(member, F.xxhash64("id", "bucket", F.lit(f"{round_no}.{i}"))) for i in range(3)]
+    parts = rows.groupBy("bucket", "label").agg(F.count("*").alias("size"), F.array_distinct(F.array(*draws)).alias("draws"))
+    lead, other = F.struct("size", "label"), F.struct(F.xxhash64("label", "bucket", F.lit(round_no)), "label")
+    centres = parts.groupBy("bucket").agg(
+        F.count("*").alias("parts"), F.max(lead).alias("lead"), F.max_by("draws", lead).alias("first"), F.min_by("draws", other).alias("second")
+    ).where("parts > 1")
+    centres = centres.select("bucket", F.col("lead.size").alias("most"), F.col("lead.label").alias("lead"), F.array_union("first", "second").alias("centres"))
+    pairs = rows.join(centres, "bucket").where((F.col("most") <= SMALL) | (F.col("label") != F.col("lead")))
+    return _edges(pairs.select("id", "n", "label", F.explode("centres").alias("c")).where("label <> c.label"), percent)
+
+
+def _edges(pairs: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs whose set sizes allow the similarity."""
+    pairs = pairs.where((F.col("id") != F.col("c.id")) & (100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")))
     return pairs.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
 
 
@@ -173,20 +229,16 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     wanted = buckets.select("id").distinct()
     texts = docs.withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi")
     sets = stored(texts.mapInArrow(partial(_sets, size=size), "id long, shingles binary"))
-    links = labels = None
-    round_no = idle = 0
-    while idle < 2:
+    links = stored(confirmed(star_edges(buckets, percent), sets, percent))
+    labels = components(links)
+    rare = rare_buckets(buckets, labels, sets, percent)
+    round_no = 1
+    while not (new := stored(confirmed(repair_edges(rare, labels, percent, round_no), sets, percent))).isEmpty():
+        links = links.unionByName(new)
+        labels = components(links)
         round_no += 1
-        new = stored(confirmed(star_edges(buckets, labels, percent, round_no), sets, percent))
-        idle = idle + 1 if new.isEmpty() else 0
-        if not idle:
-            links = new if links is None else links.unionByName(new)
-            labels = components(links)
-        elif labels is None:
-            labels = buckets.select("id", F.col("id").alias("label")).distinct()
     named = classes.select("set_hash", "id")
-    if labels is not None:
-        named = named.join(labels, "id", "left").select("set_hash", F.coalesce("label", "id").alias("id"))
+    named = named.join(labels, "id", "left").select("set_hash", F.coalesce("label", "id").alias("id"))
     out = signed.drop("bands").join(named, "set_hash", "left")
     component = F.coalesce("id", "doc_id")
     return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
