@@ -39,13 +39,13 @@ def _block(codes, rows):
 
 
 def gram_buckets(codes, ends, n: int, bits: int) -> np.ndarray:
-    """Bucket of the n-gram that starts at each place; 2 ** bits where it would run past its piece."""
+    """Bucket of the n-gram that starts at each place; 2 ** bits where it would reach the line feed after its piece."""
     size = len(codes)
     g = np.zeros(size, np.uint64)
     for k in range(min(n, size)):
         g[: size - k] += codes[k:] * np.uint64(pow(_B, 2 * k + n, 1 << 64))
     out = ((g ^ (g >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - bits)).astype(np.int32)
-    for k in range(n - 1):
+    for k in range(n):
         out[np.maximum(ends - 1 - k, 0)] = 1 << bits
     return out
 
@@ -69,7 +69,7 @@ def sums(texts: list, tables: list[np.ndarray], grams: tuple[int, ...], word_tab
             at = gram_buckets(codes, ends, n, bits)
             for i, t in enumerate(tables):
                 np.add.at(total[:, i], rows, np.add.reduceat(t[at], starts, dtype=np.float64))
-            np.add.at(count, rows, np.maximum(ends - starts - n + 1, 0))
+            np.add.at(count, rows, np.maximum(ends - starts - n, 0))
         if word_tables:
             start, at = word_buckets(codes, bits)
             row = rows[np.searchsorted(ends, start, "right")]

@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     named = classes.select("set_hash", "id")
     named = named.join(labels, "id", "left").select("set_hash", F.coalesce("label", "id").alias("id"))
     out = signed.drop("bands").join(named, "set_hash", "left")
-    component = F.coalesce("id", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id"))
     return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
