@@ -5,7 +5,7 @@ hashes its shingles once; bin i keeps the least hash of its range, and an empty
 names first among those that are not empty. Bands of bins make buckets. A bucket proposes edges from a few centres to its members,
 never pairs among members; edges are confirmed on the full sets. A star can lose a link between two members that are not centres.
 So documents that share a bucket with another component meet again in buckets of their rarest shingles (two sets of the similarity
-share one of these), where stars from members drawn anew are confirmed until a round finds no new link. Components come from
+share one of these), where stars from members drawn anew are confirmed until two rounds in a row find no new link. Components come from
 alternating large-star and small-star passes over the confirmed links.
 """
 
@@ -232,11 +232,14 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     links = stored(confirmed(star_edges(buckets, percent), sets, percent))
     labels = components(links)
     rare = rare_buckets(buckets, labels, sets, percent)
-    round_no = 1
-    while not (new := stored(confirmed(repair_edges(rare, labels, percent, round_no), sets, percent))).isEmpty():
-        links = links.unionByName(new)
-        labels = components(links)
+    round_no = idle = 0
+    while idle < 2:
         round_no += 1
+        new = stored(confirmed(repair_edges(rare, labels, percent, round_no), sets, percent))
+        idle = idle + 1 if new.isEmpty() else 0
+        if not idle:
+            links = links.unionByName(new)
+            labels = components(links)
     named = classes.select("set_hash", "id")
     named = named.join(labels, "id", "left").select("set_hash", F.coalesce("label", "id").alias("id"))
     out = signed.drop("bands").join(named, "set_hash", "left")
