@@ -50,14 +50,18 @@ def gram_buckets(codes, ends, n: int, bits: int) -> np.ndarray:
     return out
 
 
-def word_buckets(codes, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start place, bucket) of each run of characters above U+0020."""
+def word_buckets(codes, ends, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start place, bucket) of each run of characters above U+0020; bucket 0 is for no word but stands, once more, for each word
+    that repeats the word before it in the same piece."""
     up, down = _powers()
     ink = np.r_[False, codes > 32, False]
     start, end = np.flatnonzero(ink[1:] & ~ink[:-1]), np.flatnonzero(~ink[1:] & ink[:-1])
     total = np.r_[np.zeros(1, np.uint64), np.cumsum((codes + np.uint64(1)) * up[: len(codes)], dtype=np.uint64)]
     h = (total[end] - total[start]) * down[start]
-    return start, ((h ^ (h >> np.uint64(32))) * np.uint64(0xA0761D6478BD642F) >> np.uint64(64 - bits)).astype(np.int32)
+    bucket = np.maximum((h ^ (h >> np.uint64(32))) * np.uint64(0xA0761D6478BD642F) >> np.uint64(64 - bits), np.uint64(1)).astype(np.int32)
+    piece = np.searchsorted(ends, start, "right")
+    again = start[1:][(h[1:] == h[:-1]) & (piece[1:] == piece[:-1])]
+    return np.r_[start, again], np.r_[bucket, np.zeros(len(again), np.int32)]
 
 
 def sums(texts: list, tables: list[np.ndarray], grams: tuple[int, ...], word_tables: list[np.ndarray] | None, bits: int):
@@ -71,7 +75,7 @@ def sums(texts: list, tables: list[np.ndarray], grams: tuple[int, ...], word_tab
                 np.add.at(total[:, i], rows, np.add.reduceat(t[at], starts, dtype=np.float64))
             np.add.at(count, rows, np.maximum(ends - starts - n, 0))
         if word_tables:
-            start, at = word_buckets(codes, bits)
+            start, at = word_buckets(codes, ends, bits)
             row = rows[np.searchsorted(ends, start, "right")]
             np.add.at(count, row, 1)
             for i, t in enumerate(word_tables):

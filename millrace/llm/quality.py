@@ -1,7 +1,7 @@
 """Quality classifier: supervised subword embeddings.
 
-A document is the mean of the learned vectors of its words and character n-grams (hashed into 2 ** BITS buckets); a softmax over
-two classes follows. Training is stochastic gradient descent in numpy on a bounded sample of labelled documents. Since mean and
+A document is the mean of the learned vectors of its words and character n-grams (hashed into 2 ** BITS buckets) and of one token for
+each word that repeats the word before it; a softmax over two classes follows. Training is stochastic gradient descent in numpy on a bounded sample of labelled documents. Since mean and
 output layer are both linear, vectors and output are folded into one number for each bucket, and scoring sums those.
 """
 
@@ -31,7 +31,7 @@ def _features(batches):
             for codes, _, ends, _ in blocks([text.as_py()]):
                 for n in GRAMS:
                     c[: 1 << BITS] += np.bincount(gram_buckets(codes, ends, n, BITS), minlength=(1 << BITS) + 1)[:-1]
-                c[1 << BITS :] += np.bincount(word_buckets(codes, BITS)[1], minlength=1 << BITS)
+                c[1 << BITS :] += np.bincount(word_buckets(codes, ends, BITS)[1], minlength=1 << BITS)
             at = np.flatnonzero(c)
             ats.append(at.astype(np.int32))
             ns.append(c[at].astype(np.int32))
@@ -77,9 +77,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_
     labels = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**32)) < F.lit(int(rate * 2**32)).cast("long"))
     # The sampled labels are bounded by train_docs (in expectation), whatever the size of the corpus.
     chosen = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(labels), "doc_id").select("quality", "text", "doc_id")
-    rows = chosen.mapInArrow(_with_id, "label int, at array<int>, n array<int>, doc_id long").toPandas()
-    rows = rows.sort_values(["doc_id", "label"])
-    return train([(int(y), np.asarray(at), np.asarray(n)) for y, at, n in zip(rows["label"], rows["at"], rows["n"], strict=True)])
+    rows = chosen.mapInArrow(_with_id, "label int, at array<int>, n array<int>, doc_id long").orderBy("doc_id", "label").toArrow()
+    return train([(y, at.values.to_numpy(), n.values.to_numpy()) for y, at, n in zip(rows["label"].to_pylist(), rows["at"], rows["n"], strict=True)])
 
 
 def _with_id(batches):
