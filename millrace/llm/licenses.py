@@ -112,3 +112,30 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_licenses(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
+def _op1_sql(k: int = 4, max_shift: int = 3, min_share: float = 0.6) -> str:
+    """The same scan in SQL, gram texts in the place of hashes."""
+    templates = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(TEMPLATES))
+    places = [(" AND ".join(f"w[i + {j}] = '{x}'" for j, x in enumerate(phrase.split())), label) for phrase, label in BASE_PHRASES]
+    base = " UNION ALL ".join(f"SELECT doc_id, '{label}' AS label, unnest(list_filter(range(1, len(w) + 1), lambda i: {same})) - 1 AS pos FROM d" for same, label in places)
+    gram = f"array_to_string(w[i:i + {k - 1}], ' ')"
+    return rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(w) - {k - 2})) AS i, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: {gram})) AS g FROM d WHERE len(w) >= {k}),
+t AS (SELECT id, label, string_split(text, ' ') AS w FROM (VALUES {templates}) t(id, label, text)),
+tg AS (SELECT id, label, n, i, {gram} AS g FROM (SELECT *, len(w) - {k - 1} AS n, unnest(range(1, len(w) - {k - 2})) AS i FROM t WHERE len(w) >= {k})),
+v AS (SELECT doc_id, id, label, n, p.i - tg.i AS diagonal, count(*) AS votes FROM p JOIN tg USING (g) GROUP BY ALL),
+a AS (SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, id ORDER BY diagonal) > {max_shift}, false)::INT AS apart FROM v),
+c AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, id ORDER BY diagonal) AS cluster FROM a),
+s AS (SELECT doc_id, label, least(sum(votes)::DOUBLE / n, 1.0) AS share FROM c GROUP BY doc_id, id, label, n, cluster),
+b AS ({base}),
+bd AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY doc_id),
+l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM b UNION SELECT doc_id, label FROM s WHERE share >= {min_share}) GROUP BY doc_id),
+m AS (SELECT doc_id, max(share) AS best FROM s GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0) END::DOUBLE AS score
+FROM d LEFT JOIN bd USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN m USING (doc_id)"""
+
+
+OP1_SQL = _op1_sql()

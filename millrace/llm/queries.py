@@ -4,7 +4,7 @@ from .decontaminate import OP3_SQL, op3_decontaminate
 from .fertility import op9_fertility
 from .html import op10_html
 from .language import op5_language
-from .licenses import op1_licenses
+from .licenses import OP1_SQL, op1_licenses
 from .mixing import op7_mixing
 from .neardup import OP8_SQL, op8_neardup
 from .privacy import op2_privacy
@@ -23,4 +23,4 @@ QUERIES = {
     "op9_fertility": op9_fertility,
     "op10_html": op10_html,
 }
-SQL = {"op3_decontaminate": OP3_SQL, "op4_substrings": OP4_SQL, "op8_neardup": OP8_SQL}
+SQL = {"op1_licenses": OP1_SQL, "op3_decontaminate": OP3_SQL, "op4_substrings": OP4_SQL, "op8_neardup": OP8_SQL}
