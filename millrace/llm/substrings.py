@@ -1,29 +1,40 @@
-"""Substring deduplication across a whole corpus, and against a bounded reference by broadcast suffix automata.
-
-Corpus against itself (remove_repeats): each task hashes the word windows of its documents, keeps for each distinct window the
-smallest doc_id of its block, and deals those by hash to buckets; a bucket finds the smallest doc_id of each window overall and
-answers documents that hold a window which a smaller doc_id also holds. A window that a third of all documents share reaches its
-bucket once per block, not once per document.
-
-Corpus against a reference (remove_reference): suffix automata of reference shards are broadcast, documents stream through them.
+"""Substring deduplication by suffix automata, of a whole corpus against itself and against a bounded reference.
+
+Corpus against itself (remove_repeats). The reference is the corpus, so its shards cannot all be sent to everyone; instead text is
+routed to the shard that can answer for it:
+
+1. Documents are dealt to blocks. A window of `width` words is named by its minimizer, the least hash among its runs of GRAM words;
+   equal windows have equal minimizers. Blocks count the documents of their distinct minimizers, buckets add the counts up and tell
+   each block which of its minimizers occur in more than one document (and which are hot, in very many).
+2. Blocks cut out the segments whose windows share a repeated minimizer, each distinct segment once with the least doc_id that has
+   it, and send them to shards by minimizer; windows of a hot minimizer go one by one, by their own words.
+3. A shard builds a suffix automaton of its segments in the order of their doc_ids, so that each state knows the least doc_id of its
+   sequences, and streams the segments through it: the state that holds the last `width` words gives each window's least doc_id.
+4. Blocks take out the words under windows whose least doc_id is smaller than the document's own.
+
+Words are compared as words in step 3; hashes only route. Corpus against a reference (remove_reference): suffix automata of the
+reference's shards are broadcast, and documents stream through them.
 """
 
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table
-from .hashing import pieces, window_hashes, word_hashes
+from .hashing import pieces, window_hashes
 
-#: Windows that a task gathers before it deals out a block.
-BLOCK = 1_500_000
-#: Bytes of text for each bucket, and the least number of buckets.
-BUCKET_BYTES, MIN_BUCKETS = 4_000_000, 256
+#: Words of the runs that minimizers are chosen from.
+GRAM = 6
+#: Bytes of text for each block, bucket and shard, and the least number of each.
+PART_BYTES, MIN_PARTS = 4_000_000, 256
+#: Documents beyond which a minimizer is hot.
+HOT = 500
 
-_CHUNK = "bucket int, answer boolean, base long, windows binary, ids binary"
+_REPLY = "block int, kind int, key binary, value binary"
 
 
 def planes(a: np.ndarray) -> bytes:
@@ -35,107 +46,176 @@ def unplanes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
 
 
-def _grouped(h: np.ndarray, d: np.ndarray):
-    """(distinct hashes, their smallest id, which of h's places hold a larger id, the order used)."""
-    o = np.argsort(h)
-    h, d = h[o], d[o]
-    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-    least = np.minimum.reduceat(d, first)
-    later = d > np.repeat(least, np.diff(np.r_[first, len(h)]))
-    return h[first], least, h[later], d[later]
-
-
-def _answers(h: np.ndarray, d: np.ndarray):
-    """Rows (doc_id, its windows as bytes) from parallel arrays."""
-    o = np.lexsort((h, d))
-    h, d = h[o], d[o]
-    keep = np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])]
-    h, d = h[keep], d[keep]
-    first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-    ends = np.r_[first, len(d)].astype(np.int32) * 8
-    return d[first], pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(h).tobytes())])
-
-
-def _deal(hs: list, ds: list, buckets: int):
-    """One block: a chunk of distinct windows for each bucket, and the answers that the block itself can give."""
-    h, least, later_h, later_d = _grouped(np.concatenate(hs), np.concatenate(ds))
-    cut = np.searchsorted(h, np.array([-(-(b << 64) // buckets) for b in range(1, buckets)], np.uint64))
-    base = int(least.min())
-    off = (least - base).astype(np.uint64)
-    out = []
-    for b, (lo, hi) in enumerate(zip(np.r_[0, cut], np.r_[cut, len(h)], strict=True)):
-        if hi > lo:
-            out.append((b, False, base, planes(np.diff(h[lo:hi], prepend=np.uint64(0))), planes(off[lo:hi])))
-    columns = [*zip(*out, strict=True)] if out else [[]] * 5
-    types = [pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()]
-    names = ["bucket", "answer", "base", "windows", "ids"]
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-    if len(later_h):
-        ids, windows = _answers(later_h, later_d)
-        spread = (ids % buckets).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(np.ones(len(ids), bool)), pa.array(ids), windows, pa.nulls(len(ids), pa.binary())], names=names)
-
-
-def deal_windows(batches, width: int, buckets: int):
-    hs, ds, n = [], [], 0
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            if doc_id is None or not text.is_valid:
-                continue
-            h = window_hashes(word_hashes(text.as_py().encode()), width)
-            if len(h):
-                hs.append(h)
-                ds.append(np.full(len(h), doc_id, np.int64))
-                n += len(h)
-            if n >= BLOCK:
-                yield from _deal(hs, ds, buckets)
-                hs, ds, n = [], [], 0
-    if n:
-        yield from _deal(hs, ds, buckets)
-
-
-def answer_bucket(chunks: pa.Table) -> pa.Table:
-    """Of one bucket: the windows of each document that a smaller doc_id also has."""
-    names = ["doc_id", "windows"]
-    given = chunks.filter(chunks["answer"])
-    out = [pa.table([given["base"], given["windows"]], names=names)]
-    dealt = chunks.filter(pa.compute.invert(chunks["answer"]))
-    if dealt.num_rows:
-        hs = [np.cumsum(unplanes(x.as_py()), dtype=np.uint64) for x in dealt["windows"]]
-        ds = [unplanes(x.as_py()).astype(np.int64) + base.as_py() for x, base in zip(dealt["ids"], dealt["base"], strict=True)]
-        _, _, h, d = _grouped(np.concatenate(hs), np.concatenate(ds))
-        if len(h):
-            ids, windows = _answers(h, d)
-            out.append(pa.table([pa.array(ids), windows], names=names))
-    return pa.concat_tables(out)
-
-
-def _kept(text: str | None, found: list | None, width: int):
-    """(words, words removed, kept words joined by one space)."""
-    if not text:
-        return 0, 0, ""
-    data = text.encode()
-    if not found:
-        words = [w for p in pieces(data) for w in p.split()]
-        return len(words), 0, b" ".join(words).decode()
-    h = word_hashes(data)
-    hit = np.isin(window_hashes(h, width), np.concatenate([np.frombuffer(x, np.uint64) for x in found]))
-    edge = np.zeros(len(h) + 1, np.int64)
-    at = np.flatnonzero(hit)
-    np.add.at(edge, at, 1)
-    np.add.at(edge, at + width, -1)
+class Block:
+    """The documents of a block as one run of words, and the minimizers of their windows."""
+
+    def __init__(self, texts: list[str | None], width: int):
+        self.words, ends = [], []
+        for text in texts:
+            for piece in pieces((text or "").encode()):
+                self.words += piece.split()
+            ends.append(len(self.words))
+        self.ends = np.array(ends, np.int64)
+        self.starts = np.r_[np.zeros(1, np.int64), self.ends[:-1]] if ends else self.ends
+        self.doc = np.repeat(np.arange(len(ends)), self.ends - self.starts)
+        self.width = width
+        h = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
+        n, gram = len(h) - width + 1, min(GRAM, width)
+        if n <= 0:
+            self.inside, self.least, self.at = np.zeros(0, bool), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            return
+        g = window_hashes(h, gram)
+        self.inside = self.doc[:n] == self.doc[width - 1 :]
+        self.least, self.at = g[:n].copy(), np.arange(n)
+        for k in range(1, width - gram + 1):
+            less = g[k : n + k] < self.least
+            self.least[less] = g[k : n + k][less]
+            self.at[less] = np.flatnonzero(less) + k
+
+    def minimizers(self, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(distinct minimizers, sorted, documents that have each); only documents marked as known count."""
+        use = self.inside & known[self.doc[: len(self.inside)]]
+        m, d = self.least[use], self.doc[: len(self.inside)][use]
+        order = np.lexsort((d, m))
+        m, d = m[order], d[order]
+        new = np.r_[True, (m[1:] != m[:-1]) | (d[1:] != d[:-1])] if len(m) else np.zeros(0, bool)
+        return np.unique(m[new], return_counts=True)
+
+    def segments(self, repeated: np.ndarray, hot: np.ndarray, known: np.ndarray):
+        """(first word, windows, number of the minimizer in repeated) of the runs of windows with one repeated minimizer."""
+        if not len(repeated) or not len(self.inside):
+            return np.zeros((3, 0), np.int64)
+        number = np.minimum(np.searchsorted(repeated, self.least), len(repeated) - 1)
+        take = (repeated[number] == self.least) & self.inside & known[self.doc[: len(self.inside)]]
+        first = take & np.r_[True, ~take[:-1] | (self.at[1:] != self.at[:-1]) | hot[number[1:]]]
+        begin = np.flatnonzero(first)
+        stop = np.flatnonzero(take & np.r_[~take[1:] | first[1:], True]) + 1
+        return begin, stop - begin, number[begin]
+
+    def content(self, start: int, windows: int) -> bytes:
+        return b" ".join(self.words[start : start + windows + self.width - 1])
+
+
+def _ids(docs: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(doc_ids, which are not null)."""
+    ids = docs["doc_id"]
+    return ids.fill_null(0).to_numpy().astype(np.int64), ids.is_valid().to_numpy()
+
+
+def _count(docs: pa.Table, width: int, buckets: int) -> pa.Table:
+    """One chunk of minimizers and their counts for each bucket."""
+    m, n = Block(docs["text"].to_pylist(), width).minimizers(_ids(docs)[1])
+    cut = np.searchsorted(m, np.array([-(-(b << 64) // buckets) for b in range(1, buckets)], np.uint64))
+    rows = [(b, planes(np.diff(m[i:j], prepend=np.uint64(0))), planes(n[i:j].astype(np.uint64))) for b, (i, j) in enumerate(zip(np.r_[0, cut], np.r_[cut, len(m)], strict=True)) if j > i]
+    columns = [*zip(*rows, strict=True)] if rows else [[], [], []]
+    block = docs["block"][0].as_py()
+    return pa.table([pa.array(columns[0], pa.int32()), pa.array([block] * len(rows), pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], names=["bucket", "block", "grams", "counts"])
+
+
+def _repeated(chunks: pa.Table) -> pa.Table:
+    """For each block its minimizers that several documents have, and which of them are hot."""
+    grams = [np.cumsum(unplanes(x.as_py()), dtype=np.uint64) for x in chunks["grams"]]
+    counts = np.concatenate([unplanes(x.as_py()) for x in chunks["counts"]])
+    blocks = np.repeat(chunks["block"].to_numpy(), [len(g) for g in grams])
+    m, which = np.unique(np.concatenate(grams), return_inverse=True)
+    total = np.bincount(which, counts, len(m))[which]
+    take = np.flatnonzero(total > 1)
+    take = take[np.argsort(blocks[take], kind="stable")]
+    all_grams = np.concatenate(grams)[take]
+    hot, of = (total[take] > HOT).astype(np.uint8), blocks[take]
+    if not len(of):
+        return _replies([])
+    first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+    rows = [(int(of[i]), 0, all_grams[i:j].tobytes(), hot[i:j].tobytes()) for i, j in zip(first, np.r_[first[1:], len(of)], strict=True)]
+    return _replies(rows)
+
+
+def _replies(rows: list) -> pa.Table:
+    columns = [*zip(*rows, strict=True)] if rows else [[], [], [], []]
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["block", "kind", "key", "value"])
+
+
+def _known_grams(replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    own = replies.filter(pa.compute.equal(replies["kind"], 0))
+    if not own.num_rows:
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
+    grams = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in own["key"]])
+    hot = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in own["value"]]).astype(bool)
+    order = np.argsort(grams)
+    return grams[order], hot[order]
+
+
+def _cut(docs: pa.Table, replies: pa.Table, width: int):
+    """(block, segments as arrays, their contents, the least doc_id of each content, the doc_ids, repeated grams, hot)."""
+    block = Block(docs["text"].to_pylist(), width)
+    grams, hot = _known_grams(replies)
+    ids, known = _ids(docs)
+    begin, windows, number = block.segments(grams, hot, known)
+    contents = [block.content(s, c) for s, c in zip(begin.tolist(), windows.tolist(), strict=True)]
+    least: dict[bytes, int] = {}
+    for content, doc_id in zip(contents, ids[block.doc[begin]].tolist(), strict=True):
+        if content not in least or doc_id < least[content]:
+            least[content] = doc_id
+    return block, begin, windows, number, contents, least, ids, grams, hot
+
+
+def _send(docs: pa.Table, replies: pa.Table, width: int, shards: int) -> pa.Table:
+    """The block's distinct segments with their least doc_ids, by shard."""
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.int64()]
+    names = ["shard", "block", "content", "doc_id"]
+    if not docs.num_rows or not replies.num_rows:
+        return pa.table([pa.array([], t) for t in kinds], names=names)
+    _, _, _, number, contents, least, _, grams, hot = _cut(docs, replies, width)
+    route = {c: xxhash.xxh64_intdigest(c) if hot[k] else int(grams[k]) for c, k in zip(contents, number.tolist(), strict=True)}
+    block = docs["block"][0].as_py()
+    columns = [[(route[c] >> 16) % shards for c in least], [block] * len(least), list(least), list(least.values())]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+
+
+def _answer(rows: pa.Table, width: int) -> pa.Table:
+    """For each block and segment of a shard the least doc_id of each window, where it is not the block's own least."""
+    blocks, contents, ids = (rows[c].to_pylist() for c in ("block", "content", "doc_id"))
+    least: dict[bytes, int] = {}
+    for content, doc_id in zip(contents, ids, strict=True):
+        if content not in least or doc_id < least[content]:
+            least[content] = doc_id
+    automaton = SuffixAutomaton()
+    split = {c: c.split(b" ") for c in sorted(least, key=least.get)}
+    for content, words in split.items():
+        automaton.add(words, least[content])
+    found = {c: automaton.least_owners(words, width) for c, words in split.items()}
+    out = [(b, 1, xxhash.xxh3_128_digest(c), np.array(found[c], np.int64).tobytes()) for b, c, d in zip(blocks, contents, ids, strict=True) if any(x != d for x in found[c])]
+    return _replies(out)
+
+
+def _remove(docs: pa.Table, replies: pa.Table, width: int) -> pa.Table:
+    names = ["doc_id", "n_words", "n_removed", "kept"]
+    if not docs.num_rows:
+        return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.string())], names=names)
+    block, begin, windows, _, contents, least, ids, _, _ = _cut(docs, replies, width)
+    answers = replies.filter(pa.compute.equal(replies["kind"], 1))
+    given = dict(zip(answers["key"].to_pylist(), answers["value"].to_pylist(), strict=True))
+    edge = np.zeros(len(block.words) + 1, np.int64)
+    owners = {c: given.get(xxhash.xxh3_128_digest(c)) for c in least} if given else {}
+    for start, count, content, doc_id in zip(begin.tolist(), windows.tolist(), contents, ids[block.doc[begin]].tolist(), strict=True):
+        own = owners.get(content)
+        if own is not None:
+            gone = np.flatnonzero(np.frombuffer(own, np.int64) < doc_id)
+            np.add.at(edge, start + gone, 1)
+            np.add.at(edge, start + gone + width, -1)
+        elif least[content] < doc_id:
+            edge[start] += 1
+            edge[start + count + width - 1] -= 1
     keep = np.cumsum(edge[:-1]) == 0
-    words = (w for p in pieces(data) for w in p.split())
-    return len(h), int(len(h) - keep.sum()), b" ".join(w for w, k in zip(words, keep.tolist(), strict=True) if k).decode()
-
-
-def keep_words(batches, width: int):
-    for batch in batches:
-        size = max(1, batch.num_rows // max(1, batch.nbytes // (16 << 20)))
-        for part in (batch.slice(i, size) for i in range(0, batch.num_rows, size)):
-            rows = [_kept(t.as_py(), f.as_py(), width) for t, f in zip(part.column(1), part.column(2), strict=True)]
-            n, gone, kept = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+    removed = np.r_[0, np.cumsum(~keep)]
+    flags = keep.tolist()
+    kept = []
+    for i, j in zip(block.starts.tolist(), block.ends.tolist(), strict=True):
+        words = block.words[i:j]
+        kept.append(b" ".join(words if removed[i] == removed[j] else [w for w, k in zip(words, flags[i:j], strict=True) if k]).decode())
+    n = block.ends - block.starts
+    return pa.table([docs["doc_id"], pa.array(n), pa.array(removed[block.ends] - removed[block.starts]), pa.array(kept, pa.string())], names=names)
 
 
 def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
@@ -146,44 +226,54 @@ def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
     remove nothing from each other. Extra columns are ignored."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(MIN_BUCKETS, -(-size // BUCKET_BYTES))
-    chunks = docs.mapInArrow(partial(deal_windows, width=width, buckets=buckets), _CHUNK)
-    answers = chunks.groupBy("bucket").applyInArrow(answer_bucket, "doc_id long, windows binary")
-    found = answers.groupBy("doc_id").agg(F.collect_list("windows").alias("found"))
-    return docs.join(found, "doc_id", "left").mapInArrow(partial(keep_words, width=width), "doc_id long, n_words long, n_removed long, kept string")
+    parts = max(MIN_PARTS, -(-size // PART_BYTES))
+    # The three uses of the blocks are in one plan, so Spark shuffles the texts once and reuses the exchange.
+    blocks = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(parts)).cast("int")).groupBy("block")
+    counted = blocks.applyInArrow(lambda t: _count(t, width, parts), "bucket int, block int, grams binary, counts binary")
+    repeated = counted.groupBy("bucket").applyInArrow(_repeated, _REPLY)
+    sent = blocks.cogroup(repeated.groupBy("block")).applyInArrow(lambda d, r: _send(d, r, width, 2 * parts), "shard int, block int, content binary, doc_id long")
+    answered = sent.groupBy("shard").applyInArrow(lambda t: _answer(t, width), _REPLY)
+    replies = repeated.unionByName(answered).groupBy("block")
+    return blocks.cogroup(replies).applyInArrow(lambda d, r: _remove(d, r, width), "doc_id long, n_words long, n_removed long, kept string")
 
 
 class SuffixAutomaton:
-    """Of a list of word sequences. A state's link leads to its longest suffix in another state."""
+    """Of word sequences. A state stands for sequences that end at the same places; its link leads to their longest suffix that also
+    ends elsewhere. Added in the order of their owners, sequences leave in each state the least owner of what it stands for: a state
+    is made when its sequences first occur or, by a split, from one that is as old."""
 
-    def __init__(self, texts: list[list]):
-        self.next, self.link, self.len = [{}], [-1], [0]
+    def __init__(self, texts: list[list] = ()):
+        self.next, self.link, self.len, self.owner = [{}], [-1], [0], [0]
         for words in texts:
-            last = 0
-            for w in words:
-                last = self._extend(last, w)
+            self.add(words)
+
+    def add(self, words: list, owner: int = 0) -> None:
+        last = 0
+        for w in words:
+            last = self._extend(last, w, owner)
 
-    def _new(self, length: int, edges: dict, link: int) -> int:
+    def _new(self, length: int, edges: dict, link: int, owner: int) -> int:
         self.next.append(edges)
         self.link.append(link)
         self.len.append(length)
+        self.owner.append(owner)
         return len(self.len) - 1
 
     def _split(self, p: int, q: int, w) -> int:
         """q, or a copy of it that holds only the sequences up to one longer than p's."""
         if self.len[q] == self.len[p] + 1:
             return q
-        copy = self._new(self.len[p] + 1, dict(self.next[q]), self.link[q])
+        copy = self._new(self.len[p] + 1, dict(self.next[q]), self.link[q], self.owner[q])
         self.link[q] = copy
         while p >= 0 and self.next[p].get(w) == q:
             self.next[p][w] = copy
             p = self.link[p]
         return copy
 
-    def _extend(self, last: int, w) -> int:
+    def _extend(self, last: int, w, owner: int) -> int:
         if w in self.next[last]:
             return self._split(last, self.next[last][w], w)
-        new, p = self._new(self.len[last] + 1, {}, 0), last
+        new, p = self._new(self.len[last] + 1, {}, 0, owner), last
         while p >= 0 and w not in self.next[p]:
             self.next[p][w] = new
             p = self.link[p]
@@ -191,6 +281,17 @@ class SuffixAutomaton:
             self.link[new] = self._split(p, self.next[p][w], w)
         return new
 
+    def least_owners(self, words: list, width: int) -> list[int]:
+        """The least owner of each window of a sequence that was added."""
+        out, state = [], 0
+        for end, w in enumerate(words, 1):
+            state = self.next[state][w]
+            if end >= width:
+                while self.len[self.link[state]] >= width:
+                    state = self.link[state]
+                out.append(self.owner[state])
+        return out
+
     def matching_statistics(self, words: list) -> list[int]:
         """For each place, how many of the words that end there occur in the reference as one sequence."""
         out, state, n = [], 0, 0

@@ -127,7 +127,7 @@ def test_substrings(spark, width):
 
 
 def test_substrings_edges(spark, monkeypatch):
-    monkeypatch.setattr(substrings, "BLOCK", 1000)
+    monkeypatch.setattr(substrings, "HOT", 1)
     got = substrings.remove_repeats(edge_documents(spark))
     assert rows_of(got, "doc_id", "n_words", "n_removed", "kept") == brute_substrings([(i, t) for i, t, _, _ in TEXTS], 13)
     assert substrings.remove_repeats(empty_documents(spark)).count() == 0
