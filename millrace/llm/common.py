@@ -38,6 +38,8 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/t-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
+    # The shuffles behind df are done with; Spark deletes their files when the driver collects its garbage, so ask for that now.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 
