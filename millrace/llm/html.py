@@ -42,12 +42,33 @@ def boilerplate(name: str, attributes: str, inside: bool) -> bool:
         if kind.lower() == "role":
             if value in ROLES:
                 return True
-        elif any(w in BOILERPLATE for w in _WORDS.findall(value)) and not (name in INLINE and name not in ("a", "span")):
+        elif any(w in BOILERPLATE and not (w == "header" and inside) for w in _WORDS.findall(value)) and not (name in INLINE and name not in ("a", "span")):
             return True
     return False
 
 
-def elements(html: str):
+def elements(html: str) -> list[tuple]:
+    """The events of a page. Where every article stands below an element that only its class names boilerplate (a wrapper such as
+    "with-sidebar"), those wrappers are none."""
+    events = list(_events(html))
+    opened: list[tuple[int, bool, bool]] = []
+    wrappers, free = set(), False
+    for i, e in enumerate(events):
+        if e[0] == "open":
+            if e[1] in ("article", "main") and not e[3]:
+                bad = [x for x in opened if x[1]]
+                free = free or not bad
+                if all(x[2] for x in bad):
+                    wrappers.update(x[0] for x in bad)
+            opened.append((i, e[3], e[3] and e[1] not in DROPPED))
+        elif e[0] == "close":
+            opened.pop()
+    if free or not wrappers:
+        return events
+    return [(*e[:3], False, e[4]) if i in wrappers else e for i, e in enumerate(events)]
+
+
+def _events(html: str):
     """Events ("open", name, start, boilerplate?, inside the article?), ("close", name, start, end), ("text", start, end), ("break",)
     in page order. Every opened element is closed, at the latest by its parent or the end of the page."""
     stack: list[tuple[str, int, bool]] = []
@@ -117,7 +138,7 @@ def subtrees(html: str) -> set[int]:
 def main_text(html: str | None, templates=frozenset()) -> str:
     """Blocks of the article (or of the whole body where there is none), joined by one line feed."""
     html = html or ""
-    parsed = list(elements(html))
+    parsed = elements(html)
     ends = {}
     if templates:
         for e in parsed:

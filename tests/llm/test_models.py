@@ -183,6 +183,9 @@ def test_main_text():
     assert html.main_text("plain &lt;text&gt;") == "plain <text>"
     assert html.main_text("<!-- c --><article>a<!-- <p>b</p> --></article>") == "a"
     assert html.main_text("<article><p>x</article>y<article>z</article>") == "x\nz"
+    wrapped = "<div class='page with-sidebar'><article><header><h1>T</h1></header><p>x</p></article><div class='sidebar'>s</div></div>"
+    assert html.main_text(wrapped) == "T\nx"
+    assert html.main_text("<article>x</article><div class=related><article>teaser</article></div>") == "x"
 
 
 def test_site_templates(spark):
