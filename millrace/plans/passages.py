@@ -172,7 +172,9 @@ def resume_limit(spark, sf_dir, start: int = 40, n: int = 25):
 def question_dedup_first(spark, sf_dir):
     """First place of each distinct trimmed text, as in a hand-made list. min() combines on the map side, so copies cost nothing."""
     d = docs(spark, sf_dir).select("doc_id", T.strip(F.col("text")).alias("t")).where("t <> ''")
-    return d.groupBy("t").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies")).select("doc_id", "n_copies", F.md5("t").alias("text_md5"))
+    # Digests travel in the place of texts; a SHA-256 names the text.
+    d = d.select("doc_id", F.sha2("t", 256).alias("name"), F.md5("t").alias("text_md5"))
+    return d.groupBy("name", "text_md5").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies")).drop("name")
 
 
 def left_pad_batches(spark, sf_dir, batch: int = 8):
