@@ -73,3 +73,22 @@ def read_epub(spark: SparkSession, path: str, drop=()) -> DataFrame:
     """(doc_id, item_pos, text): the documents inside EPUB files, empty ones left out; doc_id is the file's stem."""
     files = spark.read.format("binaryFile").load(path).select(F.col("path"), F.col("content"))
     return files.mapInPandas(partial(_epub, drop=list(drop)), "doc_id string, item_pos int, text string")
+
+
+def _pdf(batches):
+    try:
+        import pymupdf
+    except ImportError as e:
+        raise ImportError("reading PDF files needs pymupdf on the executors") from e
+    for pdf in batches:
+        rows = []
+        for path, content in zip(pdf["path"], pdf["content"], strict=True):
+            with pymupdf.open(stream=content, filetype="pdf") as book:
+                rows += [(path.rsplit("/", 1)[-1].rsplit(".", 1)[0], i, page.get_text()) for i, page in enumerate(book)]
+        yield pd.DataFrame(rows, columns=["doc_id", "page_no", "text"])
+
+
+def read_pdf(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, page_no, text): pages of PDF files; headers go with operators.lines.join_pages."""
+    files = spark.read.format("binaryFile").load(path).select(F.col("path"), F.col("content"))
+    return files.mapInPandas(_pdf, "doc_id string, page_no int, text string")

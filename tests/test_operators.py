@@ -133,3 +133,43 @@ def test_append_new_is_idempotent(spark, tmp_path):
     assert run("c1") == [("a", 1), ("b", 1)]
     spark.createDataFrame([("c", 5), ("b", 9)], schema).write.mode("append").parquet(str(tmp_path / "in"))
     assert run("c1") == run("c2") == [("a", 1), ("b", 1), ("c", 5)]
+
+
+def test_tokens_round_trip(spark):
+    tokenizers = pytest.importorskip("public_tokenizers")
+    from millrace.operators import tokenize
+
+    path = tokenizers.path("byte_bpe_50k.json")
+    df = tokenize.encode(spark.createDataFrame([("Déjà vu, 漢字 <|endoftext|>",), (None,), ("",)], "t string"), "t", path)
+    got = tokenize.decode(df, "token_ids", path).collect()
+    assert got[0]["decoded"] == "Déjà vu, 漢字 <|endoftext|>" and got[1]["token_ids"] == got[2]["token_ids"] == []
+
+
+def test_run_asks_for_answers_only_where_questions_pass(spark, tmp_path):
+    from millrace.functions.lexicon import FRENCH
+    from millrace.operators import runs
+
+    long = " ".join(["mot"] * 60) + "."
+    passages = spark.createDataFrame([(i, p) for i, p in enumerate(["none", "skip", "short", "quiet", "copy " * 30 + ".", "weak", "good"])], "k int, passage string")
+
+    def ask():
+        return lambda ps: [{"Q none": None, "Q skip": ' "SKIP" ', "Q short": "Quoi ?"}.get(p, "Pourquoi donc faut il vivre ainsi sans espoir ?") for p in ps]
+
+    def tell():
+        def one(p):
+            assert "none" not in p and "skip" not in p and "short" not in p
+            body = p.partition("|")[2]
+            return {"quiet": None, "weak": "mot.", "good": long + "</s>"}.get(body, body)
+
+        return lambda ps: [one(p) for p in ps]
+
+    def keep(df):
+        keep.n += 1
+        df.write.parquet(str(tmp_path / str(keep.n)))
+        return spark.read.schema(df.schema).parquet(str(tmp_path / str(keep.n)))
+
+    keep.n = 0
+    run = runs.run_pairs(passages, FRENCH, ask, tell, "Q {passage}", "A {question}|{passage}", keep)
+    got = {r["k"]: r["status"] for r in runs.metadata(run, "k").collect()}
+    assert got == {0: "api_error_question", 1: "skip_question_model", 2: "invalid_question", 3: "local_error_answer", 4: "copy", 5: "invalid_answer:too_short", 6: "ok"}
+    assert [(r["k"], r["messages"][1]["content"]) for r in runs.records(run, "k").collect()] == [(6, long)]
