@@ -4,7 +4,6 @@ The log-probability matrix (languages x 2 ** BITS buckets) is a fixed size for e
 scored in batches by gathering and summing its rows.
 """
 
-import re
 from functools import partial
 
 import numpy as np
@@ -21,7 +20,10 @@ TRAIN_DOCS = 30_000
 MAX_LANGUAGES = 500
 #: A score is the posterior as if the text had so many n-grams at most, so that it stays below 1 for long texts.
 EVIDENCE = 60
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    return text is not None and any(map(str.isalpha, text))
 
 
 def _count(batches):
@@ -78,7 +80,7 @@ def _scored(batches, model, with_text: bool):
         names, scores = [], []
         for i in range(0, batch.num_rows, 1000):
             texts = [t.as_py() for t in batch.column("text").slice(i, 1000)]
-            texts = [t.lower() if t and langs and _LETTER.search(t) else None for t in texts]
+            texts = [t.lower() if langs and has_letter(t) else None for t in texts]
             if not langs:
                 names += ["und"] * len(texts)
                 scores += [0.0] * len(texts)
