@@ -1,9 +1,11 @@
 """Quality rules from tokenizer fertility, on top of plain counting rules.
 
-A public vocabulary with byte fallback tokenizes each whole text; characters per token, the share of byte-fallback tokens and the
-entropy of the tokens must lie in the band of the text's script.
+Public vocabularies tokenize each whole text: one of pieces with byte fallback, one of byte pairs for many languages. Characters per
+token, the share of tokens that are single bytes of a longer character, and the entropy of the tokens must lie in the bands of the
+text's script, for both.
 """
 
+import base64
 import unicodedata
 from functools import partial
 from math import inf
@@ -20,10 +22,10 @@ _SPACES, _SYMBOLS = b" \t\n\r\x0b\x0c", b"#*$%&|<>"
 REPEAT_WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
 
 # For each script the least and most characters per token, the largest share of byte-fallback tokens, and the least
-# entropy in bits per token of a text of at least MIN_TOKENS tokens.
+# entropy in bits per token of a text of at least MIN_TOKENS tokens. They hold for both vocabularies.
 MIN_TOKENS = 100
 BANDS = {
-    "latin": (1.2, 8.0, 0.12, 4.0),
+    "latin": (1.2, 8.0, 0.12, 4.5),
     "cyrillic": (0.9, 6.0, 0.15, 4.0),
     "greek": (0.7, 4.0, 0.15, 4.0),
     "arabic": (0.7, 4.0, 0.20, 4.0),
@@ -82,26 +84,44 @@ def counting_rules(text: str) -> tuple[int, int, int, int, int]:
     return len(h), word_chars, symbols, dup, repeated
 
 
-class Fertility:
-    """Token statistics of texts under a vocabulary given as a serialised model with byte fallback."""
+class PieceVocabulary:
+    """A sentencepiece model, given as its bytes."""
 
     def __init__(self, model: bytes):
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
-        size = self.sp.get_piece_size()
-        self.byte = np.array([self.sp.is_byte(i) for i in range(size)])
+        self.byte = np.array([self.sp.is_byte(i) for i in range(self.sp.get_piece_size())])
 
-    def measure(self, text: str) -> tuple[int, float, float, float]:
-        """(tokens, characters per token, byte-fallback share, entropy in bits per token)."""
-        ids = [np.array(self.sp.encode(p.decode()), np.int64) for p in pieces(text.encode())]
-        ids = ids[0] if len(ids) == 1 else np.concatenate(ids)
-        if not len(ids):
-            return 0, 0.0, 0.0, 0.0
-        counts = np.bincount(ids)
-        counts = counts[counts > 0]
-        entropy = float(np.log2(len(ids)) - (counts * np.log2(counts)).sum() / len(ids))
-        return len(ids), len(text) / len(ids), float(self.byte[ids].mean()), entropy
+    def ids(self, text: str) -> list[int]:
+        return self.sp.encode(text)
+
+
+class PairVocabulary:
+    """Byte pairs as a list of base64 tokens and ranks, given as its bytes, and the pattern that splits texts."""
+
+    def __init__(self, ranks: bytes, pattern: str):
+        import tiktoken
+
+        tokens = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+        self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=tokens, special_tokens={})
+        self.byte = np.zeros(max(tokens.values()) + 1, bool)
+        self.byte[[r for t, r in tokens.items() if len(t) == 1 and t[0] > 127]] = True
+
+    def ids(self, text: str) -> list[int]:
+        return self.encoding.encode_ordinary(text)
+
+
+def fertility(vocabulary, text: str) -> tuple[int, float, float, float]:
+    """(tokens, characters per token, byte-fallback share, entropy in bits per token)."""
+    ids = [np.array(vocabulary.ids(p.decode()), np.int64) for p in pieces(text.encode())]
+    ids = ids[0] if len(ids) == 1 else np.concatenate(ids)
+    if not len(ids):
+        return 0, 0.0, 0.0, 0.0
+    counts = np.bincount(ids)
+    counts = counts[counts > 0]
+    entropy = float(np.log2(len(ids)) - (counts * np.log2(counts)).sum() / len(ids))
+    return len(ids), len(text) / len(ids), float(vocabulary.byte[ids].mean()), entropy
 
 
 def verdict(kind: str, tokens: int, chars_per_token: float, fallback: float, entropy: float) -> bool:
@@ -109,37 +129,39 @@ def verdict(kind: str, tokens: int, chars_per_token: float, fallback: float, ent
     return low <= chars_per_token <= high and fallback <= most_bytes and (tokens < MIN_TOKENS or entropy >= least_bits)
 
 
-_OUT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, script string, n_tokens long, chars_per_token double, fallback_share double, token_entropy double"
+_OUT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, script string, n_tokens long, chars_per_token double, fallback_share double, token_entropy double, n_pair_tokens long, chars_per_pair double, pair_fallback_share double, pair_entropy double"
 
 
-def _rules(batches, model):
-    measured = None
+def _rules(batches, files):
+    vocabularies = None
     for batch in batches:
-        measured = measured or Fertility(model.value)
+        vocabularies = vocabularies or (PieceVocabulary(files.value[0]), PairVocabulary(*files.value[1:]))
         rows = []
         for text in batch.column(1):
             text = text.as_py() or ""
             counts = counting_rules(text)
             failed = counts[0] < MIN_WORDS or 100 * counts[4] > MAX_REPEAT_PERCENT * counts[0]
-            kind, stats = script(text), measured.measure(text)
-            rows.append((*counts, failed, not failed and verdict(kind, *stats), kind, *stats))
+            kind, stats = script(text), [fertility(v, text) for v in vocabularies]
+            rows.append((*counts, failed, not failed and all(verdict(kind, *x) for x in stats), kind, *stats[0], *stats[1]))
         columns = [pa.array(c) for c in zip(*rows, strict=True)] if rows else []
         if rows:
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[x.split()[0] for x in _OUT.split(", ")])
 
 
-def quality_rules(docs: DataFrame, model_path: str | None = None) -> DataFrame:
-    """Counting rules and fertility bands for every row; model_path is a sentencepiece model (default: the installed public one).
+def quality_rules(docs: DataFrame, pieces_path: str | None = None, pairs_path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """Counting rules and fertility bands for every row. pieces_path is a sentencepiece model, pairs_path a list of byte pairs with its
+    pattern (default: the installed public ones).
 
     Null and empty texts count 0 words and fail the base rule. A text without letters is in no script's band. One row per input row;
     extra columns are ignored."""
-    if model_path is None:
-        import public_tokenizers
-
-        model_path = public_tokenizers.path("piece_bpe_32k.model")
-    with open(model_path, "rb") as f:
-        model = docs.sparkSession.sparkContext.broadcast(f.read())
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(partial(_rules, model=model), _OUT)
+    if not (pieces_path and pairs_path and pattern):
+        import public_tokenizers as public
+
+        pieces_path, pairs_path = pieces_path or public.path("piece_bpe_32k.model"), pairs_path or public.path("byte_bpe_multi_50k.tiktoken")
+        pattern = pattern or public.PATTERN
+    with open(pieces_path, "rb") as a, open(pairs_path, "rb") as b:
+        files = docs.sparkSession.sparkContext.broadcast((a.read(), b.read(), pattern))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(partial(_rules, files=files), _OUT)
 
 
 def op9_fertility(spark, sf_dir: str) -> DataFrame:
