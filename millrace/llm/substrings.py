@@ -17,6 +17,7 @@ reference's shards are broadcast, and documents stream through them.
 """
 
 from functools import partial
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -68,9 +69,8 @@ class Block:
         self.inside = self.doc[:n] == self.doc[width - 1 :]
         self.least, self.at = g[:n].copy(), np.arange(n)
         for k in range(1, width - gram + 1):
-            less = g[k : n + k] < self.least
-            self.least[less] = g[k : n + k][less]
-            self.at[less] = np.flatnonzero(less) + k
+            np.copyto(self.at, np.arange(k, n + k), where=g[k : n + k] < self.least)
+            np.minimum(self.least, g[k : n + k], out=self.least)
 
     def minimizers(self, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(distinct minimizers, sorted, documents that have each); only documents marked as known count."""
@@ -162,30 +162,40 @@ def _cut(docs: pa.Table, replies: pa.Table, width: int):
 
 def _send(docs: pa.Table, replies: pa.Table, width: int, shards: int) -> pa.Table:
     """The block's distinct segments with their least doc_ids, by shard."""
-    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.int64()]
-    names = ["shard", "block", "content", "doc_id"]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64()]
+    names = ["shard", "block", "route", "content", "doc_id"]
     if not docs.num_rows or not replies.num_rows:
         return pa.table([pa.array([], t) for t in kinds], names=names)
     _, _, _, number, contents, least, _, grams, hot = _cut(docs, replies, width)
     route = {c: xxhash.xxh64_intdigest(c) if hot[k] else int(grams[k]) for c, k in zip(contents, number.tolist(), strict=True)}
     block = docs["block"][0].as_py()
-    columns = [[(route[c] >> 16) % shards for c in least], [block] * len(least), list(least), list(least.values())]
+    columns = [[(route[c] >> 16) % shards for c in least], [block] * len(least), [route[c] - (1 << 63) for c in least], list(least), list(least.values())]
     return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
 
 def _answer(rows: pa.Table, width: int) -> pa.Table:
     """For each block and segment of a shard the least doc_id of each window, where it is not the block's own least."""
-    blocks, contents, ids = (rows[c].to_pylist() for c in ("block", "content", "doc_id"))
+    blocks, routes, contents, ids = (rows[c].to_pylist() for c in ("block", "route", "content", "doc_id"))
     least: dict[bytes, int] = {}
-    for content, doc_id in zip(contents, ids, strict=True):
+    mates: dict[int, set[bytes]] = {}
+    for route, content, doc_id in zip(routes, contents, ids, strict=True):
         if content not in least or doc_id < least[content]:
             least[content] = doc_id
+        mates.setdefault(route, set()).add(content)
+    # Equal windows have the same route: a segment that is alone on its own shares windows with no other.
+    several = {c for own in mates.values() if len(own) > 1 for c in own}
     automaton = SuffixAutomaton()
-    split = {c: c.split(b" ") for c in sorted(least, key=least.get)}
+    split = {c: c.split(b" ") for c in sorted(several, key=least.get)}
     for content, words in split.items():
         automaton.add(words, least[content])
     found = {c: automaton.least_owners(words, width) for c, words in split.items()}
-    out = [(b, 1, xxhash.xxh3_128_digest(c), np.array(found[c], np.int64).tobytes()) for b, c, d in zip(blocks, contents, ids, strict=True) if any(x != d for x in found[c])]
+    out = []
+    for block, content, doc_id in zip(blocks, contents, ids, strict=True):
+        owners = found.get(content)
+        if owners is None:
+            owners = [least[content]] * (content.count(b" ") + 2 - width) if least[content] != doc_id else ()
+        if any(x != doc_id for x in owners):
+            out.append((block, 1, xxhash.xxh3_128_digest(content), np.array(owners, np.int64).tobytes()))
     return _replies(out)
 
 
@@ -196,24 +206,20 @@ def _remove(docs: pa.Table, replies: pa.Table, width: int) -> pa.Table:
     block, begin, windows, _, contents, least, ids, _, _ = _cut(docs, replies, width)
     answers = replies.filter(pa.compute.equal(replies["kind"], 1))
     given = dict(zip(answers["key"].to_pylist(), answers["value"].to_pylist(), strict=True))
-    edge = np.zeros(len(block.words) + 1, np.int64)
-    owners = {c: given.get(xxhash.xxh3_128_digest(c)) for c in least} if given else {}
-    for start, count, content, doc_id in zip(begin.tolist(), windows.tolist(), contents, ids[block.doc[begin]].tolist(), strict=True):
-        own = owners.get(content)
-        if own is not None:
-            gone = np.flatnonzero(np.frombuffer(own, np.int64) < doc_id)
-            np.add.at(edge, start + gone, 1)
-            np.add.at(edge, start + gone + width, -1)
-        elif least[content] < doc_id:
-            edge[start] += 1
-            edge[start + count + width - 1] -= 1
-    keep = np.cumsum(edge[:-1]) == 0
+    owners = {c: o for c in least if (o := given.get(xxhash.xxh3_128_digest(c))) is not None} if given else {}
+    # The owner of each window of each segment, segment by segment.
+    flat = np.frombuffer(b"".join(owners.get(c) or least[c].to_bytes(8, "little", signed=True) * n for c, n in zip(contents, windows.tolist(), strict=True)), np.int64)
+    first = np.cumsum(windows) - windows
+    at = np.repeat(begin - first, windows) + np.arange(len(flat))
+    at = at[flat < ids[block.doc[at]]]
+    edge = np.bincount(at, minlength=len(block.words) + 1) - np.bincount(at + width, minlength=len(block.words) + 1)
+    keep = np.cumsum(edge[: len(block.words)]) == 0
     removed = np.r_[0, np.cumsum(~keep)]
     flags = keep.tolist()
     kept = []
     for i, j in zip(block.starts.tolist(), block.ends.tolist(), strict=True):
         words = block.words[i:j]
-        kept.append(b" ".join(words if removed[i] == removed[j] else [w for w, k in zip(words, flags[i:j], strict=True) if k]).decode())
+        kept.append(b" ".join(words if removed[i] == removed[j] else compress(words, flags[i:j])).decode())
     n = block.ends - block.starts
     return pa.table([docs["doc_id"], pa.array(n), pa.array(removed[block.ends] - removed[block.starts]), pa.array(kept, pa.string())], names=names)
 
@@ -231,7 +237,7 @@ def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
     blocks = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(parts)).cast("int")).groupBy("block")
     counted = blocks.applyInArrow(lambda t: _count(t, width, parts), "bucket int, block int, grams binary, counts binary")
     repeated = counted.groupBy("bucket").applyInArrow(_repeated, _REPLY)
-    sent = blocks.cogroup(repeated.groupBy("block")).applyInArrow(lambda d, r: _send(d, r, width, 2 * parts), "shard int, block int, content binary, doc_id long")
+    sent = blocks.cogroup(repeated.groupBy("block")).applyInArrow(lambda d, r: _send(d, r, width, 2 * parts), "shard int, block int, route long, content binary, doc_id long")
     answered = sent.groupBy("shard").applyInArrow(lambda t: _answer(t, width), _REPLY)
     replies = repeated.unionByName(answered).groupBy("block")
     return blocks.cogroup(replies).applyInArrow(lambda d, r: _remove(d, r, width), "doc_id long, n_words long, n_removed long, kept string")
