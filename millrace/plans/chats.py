@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import chat, compare
+from ..sources.shared import shared_dir
 from ..streaming import incremental
 from . import sql as S
 from .answers import conversations
@@ -127,7 +128,7 @@ def config_equality(spark, sf_dir):
 
 def incremental_append(spark, sf_dir):
     """Questions appended by a stream, run twice over the same target with a new checkpoint: the second run adds nothing."""
-    work = incremental.work_dir(spark)
+    work = shared_dir(spark)
     source = f"{sf_dir}/conversations.parq*"
     schema = conversations(spark, sf_dir).schema
 

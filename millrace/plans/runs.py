@@ -1,14 +1,13 @@
 """Queries on generation runs and vocabularies."""
 
 import hashlib
-import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.lexicon import FIXTURE as LEX
 from ..operators import runs, segment, tokenize
-from ..streaming.incremental import work_dir
+from ..sources.shared import stored
 from . import sql as S
 from .cleaning import docs
 from .passages import NARRATIVE, _PASSAGES, _reason_sql, theme_tag
@@ -51,12 +50,7 @@ def _run(spark, sf_dir):
     p = passages(spark, sf_dir).join(kept, ["doc_id", "pos"]).select("doc_id", "pos", "source", F.col("tag").alias("theme_tag"), "passage")
     template = F.when(F.col("source").isin(NARRATIVE), F.lit(ANSWER_NARRATIVE)).otherwise(F.lit(ANSWER_REFERENCE))
 
-    def keep(df):
-        path = f"{work_dir(spark)}/{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    return runs.run_pairs(p, LEX, ask_stub, answer_stub, QUESTION_TEMPLATE, template, keep, question_model="stub-q", answer_model="stub-a")
+    return runs.run_pairs(p, LEX, ask_stub, answer_stub, QUESTION_TEMPLATE, template, stored, question_model="stub-q", answer_model="stub-a")
 
 
 def generation_metadata(spark, sf_dir):

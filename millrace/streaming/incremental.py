@@ -1,7 +1,5 @@
 """Incremental, idempotent appends with Structured Streaming."""
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -32,10 +30,3 @@ def append_new(spark: SparkSession, source: str, schema: StructType, target: str
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def work_dir(spark: SparkSession) -> str:
-    """A new folder below the one that driver and executors share."""
-    own = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    root = own or f"{spark.conf.get('spark.sql.warehouse.dir')}/millrace-work"
-    return f"{root.rstrip('/')}/w-{uuid.uuid4().hex}"
