@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, language, mixing, neardup, privacy
-from millrace.llm.common import stored, table
+from millrace.llm.common import table
+from millrace.sources.shared import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 

@@ -1,7 +1,6 @@
 """Helpers shared by the training-data operators."""
 
 import string
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,25 +23,3 @@ def fold_ascii(text: Column) -> Column:
 
 def folded_words(text: Column) -> Column:
     return F.regexp_extract_all(fold_ascii(text), F.lit(WORD), F.lit(0))
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (local runs)."""
-    own = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    return own or f"{spark.conf.get('spark.sql.warehouse.dir')}/millrace-checkpoints"
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Write df once to the shared folder and read it back: lineage is cut, and a lost executor costs a re-read only."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/t-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    # The shuffles behind df are done with; Spark deletes their files when the driver collects its garbage, so ask for that now.
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
-
-
-def small_side(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark df for broadcast if it has at most max_rows rows; beyond that Spark shuffles both sides instead."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -8,7 +8,9 @@ other terms are intersected at their offsets, which the neighbourhood (the terms
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import folded_words, small_side, stored
+from ..operators.overlap import checked_broadcast
+from ..sources.shared import stored
+from .common import folded_words
 
 #: Rows of the benchmark side that are broadcast at most; more are joined by shuffle.
 MAX_BROADCAST_ROWS = 2_000_000
@@ -25,7 +27,7 @@ def benchmark_windows(bench: DataFrame, width: int) -> DataFrame:
 
 def term_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """Posting-list length of each of the terms over the whole corpus, zero included."""
-    terms = small_side(terms, MAX_BROADCAST_ROWS)
+    terms = checked_broadcast(terms, MAX_BROADCAST_ROWS)
     found = docs.select(F.explode_outer(folded_words(F.col("text"))).alias("term")).join(terms, "term").groupBy("term").agg(F.count("*").alias("n"))
     return terms.join(found, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -33,7 +35,7 @@ def term_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
 def choose_anchors(windows: DataFrame, frequencies: DataFrame) -> DataFrame:
     """Each window with its rarest term (ties: the smaller term, then the first place) and that term's offset."""
     placed = windows.select("gram", "items", F.posexplode("gram").alias("off", "term"))
-    placed = placed.join(small_side(frequencies, MAX_BROADCAST_ROWS), "term")
+    placed = placed.join(checked_broadcast(frequencies, MAX_BROADCAST_ROWS), "term")
     best = placed.groupBy("gram").agg(F.min(F.struct("n", "term", "off")).alias("a"), F.first("items").alias("items"))
     return best.select("gram", "items", F.col("a.term").alias("term"), F.col("a.off").alias("off"))
 
@@ -46,7 +48,7 @@ def positional_index(docs: DataFrame, terms: DataFrame, width: int) -> DataFrame
         "doc_id", F.xxhash64("text").alias("text_hash"), folded_words(F.col("text")).alias("w")
     ).select("doc_id", "text_hash", "w", F.explode_outer(F.sequence(F.lit(-1), F.size("w") - 1)).alias("pos"))
     words = words.withColumn("term", F.when(F.col("pos") >= 0, F.get("w", F.col("pos"))))
-    listed = small_side(terms.select("term", F.lit(True).alias("listed")), MAX_BROADCAST_ROWS)
+    listed = checked_broadcast(terms.select("term", F.lit(True).alias("listed")), MAX_BROADCAST_ROWS)
     hit = words.join(listed, "term", "left").where((F.col("pos") < 0) | F.col("listed"))
     lead = F.least(F.col("pos"), F.lit(width - 1))
     near = F.when(F.col("pos") >= 0, F.slice("w", F.greatest(F.col("pos") - width + 2, F.lit(1)), lead + width))
@@ -56,7 +58,7 @@ def positional_index(docs: DataFrame, terms: DataFrame, width: int) -> DataFrame
 def phrase_matches(index: DataFrame, anchors: DataFrame) -> DataFrame:
     """Postings joined with the windows they anchor: start, len, exact (the whole window stands there in order) and near
     (all its words stand within one window length of the anchor, in any order)."""
-    at = index.where(F.col("pos") >= 0).join(small_side(anchors, MAX_BROADCAST_ROWS), "term")
+    at = index.where(F.col("pos") >= 0).join(checked_broadcast(anchors, MAX_BROADCAST_ROWS), "term")
     n = F.size("gram")
     here = F.when(F.col("lead") >= F.col("off"), F.slice("near", F.col("lead") - F.col("off") + 1, n))
     at = at.withColumn("exact", F.coalesce(here == F.col("gram"), F.lit(False)))
