@@ -13,11 +13,16 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/m-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Ask the driver to collect its garbage: Spark deletes the files of shuffles that nothing refers to any more."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Write df once to the shared folder and read it back: lineage is cut, and a lost executor costs a re-read only."""
+    """Write df once to the shared folder and read it back: lineage is cut, and a lost executor costs a re-read only. Shuffles that
+    earlier stored tables came from are released."""
     spark = df.sparkSession
     path = shared_dir(spark)
+    release(spark)
     df.write.parquet(path)
-    # The shuffles behind df are done with; Spark deletes their files when the driver collects its garbage, so ask for that now.
-    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
