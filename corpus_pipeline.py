@@ -12,6 +12,7 @@ from millrace.llm.common import table
 from millrace.sources.shared import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+KEY = ["_id", "_null", "_hash"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,21 +22,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """COLUMNS and a key that names a row by its doc_id, null or not, and its text: columns without nulls, so that a join on them and
+    what follows share one exchange."""
+    return docs.select(*COLUMNS, F.coalesce("doc_id", F.lit(0)).alias("_id"), F.isnull("doc_id").alias("_null"), F.xxhash64("text").alias("_hash"))
+
+
+def keys(found: DataFrame) -> DataFrame:
+    """The keys of an operator's rows (doc_id, text_hash)."""
+    return found.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.isnull("doc_id").alias("_null"), F.col("text_hash").alias("_hash")).distinct()
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates, the one with the smallest doc_id; equal rows become one."""
-    docs = docs.select(*COLUMNS).withColumn("_hash", F.xxhash64("text"))
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_same")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_same"))
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_hash"]).select(*COLUMNS)
+    kept = keys(neardup.near_duplicates(docs).where("kept"))
+    return keyed(docs).join(kept, KEY, "left_semi").dropDuplicates(KEY).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a window of a benchmark item."""
-    docs = docs.select(*COLUMNS).withColumn("_hash", F.xxhash64("text"))
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_same")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_same"))
-    return docs.join(found, same, "left_anti").select(*COLUMNS)
+    found = keys(decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
+    return keyed(docs).join(found, KEY, "left_anti").select(*COLUMNS)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Documents with equal shingle sets fall into one class by a 128-bit hash of the set; only class representatives go on. A document
 hashes its shingles once; bin i keeps the least hash of its range, and an empty bin copies the bin that a fixed random sequence
-names first among those that are not empty. Bands of bins make buckets. A bucket proposes edges from a few centres to its members,
-never pairs among members; edges are confirmed on the full sets. A star can lose a link between two members that are not centres.
+names first among those that are not empty. Bands of bins make buckets. A bucket proposes edges from its centre to its members, never
+pairs among members; edges are confirmed on the full sets. A star can lose a link between two members that are not centres.
 So documents that share a bucket with another component meet again in buckets of their rarest shingles (two sets of the similarity
 share one of these), where stars from members drawn anew are confirmed until two rounds in a row find no new link. Components come from
 alternating large-star and small-star passes over the confirmed links.
@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import stored
+from ..sources.shared import release, stored
 from .common import table
 from .hashing import mixed, word_hashes
 
@@ -120,12 +120,10 @@ def crowded(reps: DataFrame) -> DataFrame:
 
 
 def star_edges(buckets: DataFrame, percent: int) -> DataFrame:
-    """Distinct edges (a < b) from two centres of each bucket to its members. The heaviest documents lead a group's buckets in all
-    bands, so that a group of any size has few edges for each member."""
-    member = F.struct("id", "n")
-    heads = F.array_distinct(F.array(F.max_by(member, F.struct("weight", -F.col("id"))), F.min_by(member, F.col("id"))))
-    pairs = buckets.join(buckets.groupBy("bucket").agg(heads.alias("centres")), "bucket").select("id", "n", F.explode("centres").alias("c"))
-    return _edges(pairs, percent)
+    """Distinct edges (a < b) from the heaviest member of each bucket to the others. The same few documents lead a group's buckets in
+    all bands, so that a group of any size has few edges for each member."""
+    head = F.max_by(F.struct("id", "n"), F.struct("weight", -F.col("id")))
+    return _edges(buckets.join(buckets.groupBy("bucket").agg(head.alias("c")), "bucket").select("id", "n", "c"), percent)
 
 
 def _sketch(batches):
@@ -241,6 +239,7 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
         if not idle:
             links = links.unionByName(new)
             labels = components(links)
+    release(docs.sparkSession)
     named = classes.select("set_hash", "id")
     named = named.join(labels, "id", "left").select("set_hash", F.coalesce("label", "id").alias("id"))
     out = signed.drop("bands").join(named, "set_hash", "left")
