@@ -13,9 +13,13 @@ def trigrams(tokens: Column) -> Column:
 
 
 def containment(source: Column, answer: Column) -> Column:
-    """Share of the answer's distinct trigrams that the source has; null where either side has fewer than six tokens."""
-    s, a = letter_tokens(source), letter_tokens(answer)
-    return F.when((F.size(s) >= 6) & (F.size(a) >= 6), F.size(F.array_intersect(trigrams(s), trigrams(a))) / F.size(trigrams(a)))
+    """Share of the answer's distinct trigrams that the source has; null where either side has fewer than six tokens.
+
+    Tokens and trigrams are elements of one-element arrays, so that lambdas bind them instead of computing them at every place."""
+    tokens = F.array(F.struct(letter_tokens(source).alias("s"), letter_tokens(answer).alias("a")))
+    enough = F.filter(tokens, lambda x: (F.size(x["s"]) >= 6) & (F.size(x["a"]) >= 6))
+    grams = F.transform(enough, lambda x: F.struct(trigrams(x["s"]).alias("s"), trigrams(x["a"]).alias("a")))
+    return F.get(F.transform(grams, lambda x: F.size(F.array_intersect(x["s"], x["a"])) / F.size(x["a"])), F.lit(0))
 
 
 def long_segment(source: Column, answer: Column, least: int = 90) -> Column:
