@@ -5,11 +5,13 @@ hashes its shingles once; bin i keeps the least hash of its range, and an empty
 names first among those that are not empty. Bands of bins make buckets. A bucket proposes edges from its centre to its members, never
 pairs among members; edges are confirmed on the full sets. A star can lose a link between two members that are not centres.
 So documents that share a bucket with another component meet again in buckets of their rarest shingles (two sets of the similarity
-share one of these), where stars from members drawn anew are confirmed until two rounds in a row find no new link. Components come from
-alternating large-star and small-star passes over the confirmed links.
+share one of these). Stars from members drawn anew join what is easily joined; then every pair of different components that is left in
+these buckets is compared, save those that sizes, positions or bitmaps prove to be below the similarity. Components come from alternating
+large-star and small-star passes over the confirmed links.
 """
 
-from functools import partial
+from functools import partial, reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,8 @@ _TRIES = 4096
 #: Members up to which the largest component of a bucket is enumerated in the rounds of repair.
 SMALL = 64
 SKETCH_BITS = 16
+#: Words of the bitmap of a set. A bucket with more comparisons than MOST is split by one more shared shingle, up to DEPTH times.
+WORDS, MOST, DEPTH = 8, 200_000, 2
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -141,22 +145,25 @@ def _sketched(s: np.ndarray) -> np.ndarray:
 
 def _rare(batches, counts, percent: int):
     for batch in batches:
-        ids, ns, keys = [], [], []
-        for i, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        ns, owns, keys, bits = [], [], [], []
+        for x in batch.column(1):
             s = np.frombuffer(x.as_buffer(), np.uint64)
             n = len(s)
-            prefix = s[np.lexsort((s, counts.value[_sketched(s)]))[: n - -(-percent * n // 100) + 1]]
-            keys.append(prefix.view(np.int64))
-            ids.append(np.full(len(prefix), i, np.int64))
-            ns.append(np.full(len(prefix), n, np.int64))
-        columns = [pa.array(np.concatenate(c) if c else [], pa.int64()) for c in (keys, ids, ns)]
-        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "id", "n"])
+            own = n - -(-percent * n // 100) + 1
+            keys.append(s[np.lexsort((s, counts.value[_sketched(s)]))[: own + DEPTH]].view(np.int64))
+            odd = np.bincount((s % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
+            bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            ns.append(n)
+            owns.append(own)
+        columns = [pa.array(ns, pa.int64()), pa.array(owns, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "n", "own", "tokens", "bits"])
 
 
 def rare_buckets(buckets: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(bucket, id, n) of the documents that share a band bucket with another component. The buckets are now the rarest shingles of
-    each set, as many as two sets of the similarity must share one of; the order of rarity comes from a counting sketch of fixed size
-    (any order that all documents share is right, a good one only makes small buckets)."""
+    """(id, n, own, tokens, bits) of the documents that share a band bucket with another component. tokens: the rarest shingles of the
+    set, rarest first; two sets of the similarity share one of the first own of each (the new buckets), and k more among the first own + k.
+    bits: the parity of the shingles in each of 64 * WORDS classes; sets differ in at least as many shingles as bitmaps in bits. The order
+    of rarity comes from a counting sketch of fixed size (any order that all documents share is right, a good one only makes small buckets)."""
     rows = buckets.join(labels, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
     mixed = rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
     open_ = rows.join(mixed, "bucket", "left_semi").select("id").distinct()
@@ -165,7 +172,7 @@ def rare_buckets(buckets: DataFrame, labels: DataFrame, sets: DataFrame, percent
     for at, n in own.select("shingles").mapInArrow(_sketch, "at int, count long").groupBy("at").agg(F.sum("count")).collect():
         counts[at] = n
     value = sets.sparkSession.sparkContext.broadcast(counts)
-    return stored(own.mapInArrow(partial(_rare, counts=value, percent=percent), "bucket long, id long, n long"))
+    return stored(own.mapInArrow(partial(_rare, counts=value, percent=percent), "id long, n long, own int, tokens array<long>, bits array<long>"))
 
 
 def repair_edges(buckets: DataFrame, labels: DataFrame, percent: int, round_no: int) -> DataFrame:
@@ -184,6 +191,43 @@ def repair_edges(buckets: DataFrame, labels: DataFrame, percent: int, round_no:
     return _edges(pairs.select("id", "n", "label", F.explode("centres").alias("c")).where("label <> c.label"), percent)
 
 
+def cross_edges(rare: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Distinct edges (a < b) of all pairs of different components that share a rare bucket and may reach the similarity.
+
+    In a bucket the members outside its largest component are compared with all members, so pairs within that component cost nothing. A
+    bucket with many comparisons is split by the next shingle that both must share; sets of the similarity that are not equal share
+    percent / (100 - percent) shingles at least, which bounds the splits."""
+    rare = rare.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    rows = rare.select("id", "n", "label", F.posexplode(F.slice("tokens", F.lit(1), F.col("own"))).alias("at", "bucket"))
+    words = rare.select("id", *(F.get("bits", F.lit(i)).alias(f"w{i}") for i in range(WORDS)))
+    least = -(-percent // (100 - percent)) if percent < 100 else DEPTH + 1
+    depth, out = max(0, min(DEPTH, least - 1)), []
+    for level in range(depth + 1):
+        parts = rows.groupBy("bucket", "label").agg(F.count("*").alias("size"))
+        heads = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("size").alias("all"), F.max(F.struct("size", "label")).alias("lead")).where("parts > 1")
+        heads = heads.select("bucket", F.col("lead.label").alias("lead"), (F.col("all") * (F.col("all") - F.col("lead.size"))).alias("work"))
+        rows = stored(rows.join(heads, "bucket"))
+        ready = rows if level == depth else rows.where(F.col("work") <= MOST)
+        full = ready.drop("work").join(words, "id")
+        x, y = full.where("label <> lead").alias("x"), full.drop("lead").alias("y")
+        sizes = F.col("x.n") + F.col("y.n")
+        near = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+        rest = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) + level
+        differ = sum((F.bit_count(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(WORDS)), F.lit(0))
+        once = (F.col("y.label") == F.col("x.lead")) | (F.col("x.id") < F.col("y.id"))
+        may = near & (rest * (100 + percent) >= percent * sizes) & (differ * (100 + percent) <= (100 - percent) * sizes)
+        both = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & once & may)
+        out.append(both.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")))
+        if level < depth:
+            hot = rows.where(F.col("work") > MOST).select("id", "n", "label", "at", "bucket")
+            if hot.isEmpty():
+                break
+            further = F.slice("tokens", F.col("at") + 2, F.greatest(F.col("own") + level - F.col("at"), F.lit(0)))
+            hot = hot.join(rare.select("id", "own", "tokens"), "id").select("id", "n", "label", "bucket", "at", F.posexplode(further).alias("k", "token"))
+            rows = hot.select("id", "n", "label", (F.col("at") + 1 + F.col("k")).alias("at"), F.xxhash64("bucket", "token").alias("bucket"))
+    return reduce(DataFrame.unionByName, out).distinct()
+
+
 def _edges(pairs: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs whose set sizes allow the similarity."""
     pairs = pairs.where((F.col("id") != F.col("c.id")) & (100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")))
@@ -231,14 +275,16 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     links = stored(confirmed(star_edges(buckets, percent), sets, percent))
     labels = components(links)
     rare = rare_buckets(buckets, labels, sets, percent)
-    round_no = idle = 0
-    while idle < 2:
-        round_no += 1
-        new = stored(confirmed(repair_edges(rare, labels, percent, round_no), sets, percent))
-        idle = idle + 1 if new.isEmpty() else 0
-        if not idle:
-            links = links.unionByName(new)
-            labels = components(links)
+    shared = rare.select(F.explode(F.slice("tokens", F.lit(1), F.col("own"))).alias("bucket"), "id", "n")
+    for draw in count(1):
+        new = stored(confirmed(repair_edges(shared, labels, percent, draw), sets, percent))
+        if new.isEmpty():
+            break
+        links = links.unionByName(new)
+        labels = components(links)
+    new = stored(confirmed(cross_edges(rare, labels, percent), sets, percent))
+    if not new.isEmpty():
+        labels = components(links.unionByName(new))
     release(docs.sparkSession)
     named = classes.select("set_hash", "id")
     named = named.join(labels, "id", "left").select("set_hash", F.coalesce("label", "id").alias("id"))

@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, licenses, neardup, substrings
 
@@ -187,6 +188,33 @@ def test_near_duplicates(spark):
     assert got.where("kept").count() == len({c for _, _, c in brute_components(docs)})
 
 
+@pytest.mark.parametrize("most", [0, 200_000])
+def test_near_duplicates_need_no_stars(spark, monkeypatch, most):
+    """Without any star, the comparison of rare buckets alone finds every link, whether buckets are split or not."""
+    import random
+
+    rng = random.Random(12)
+    docs = []
+    for f in range(4):
+        base = [f"v{f}x{i}" for i in range((5, 6, 40, 120)[f])]
+        family = [base]
+        for _ in range(40):
+            w = list(rng.choice(family))
+            for _ in range(rng.choice([1, 2, 4])):
+                w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+            family.append(w + rng.choice([[], ["coda"]]))
+        docs += [" ".join(w) for w in family]
+    docs = list(enumerate(docs))
+    none = lambda buckets, *_: buckets.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
+    monkeypatch.setattr(neardup, "star_edges", none)
+    monkeypatch.setattr(neardup, "repair_edges", none)
+    monkeypatch.setattr(neardup, "MOST", most, raising=False)
+    got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    want = brute_components(docs)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == want
+    assert len({c for _, _, c in want}) < len(docs) - 40
+
+
 def test_near_duplicates_edges(spark):
     got = neardup.near_duplicates(edge_documents(spark))
     docs = [(i, t) for i, t, _, _ in TEXTS if i != 10]
