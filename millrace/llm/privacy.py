@@ -1,8 +1,8 @@
 """Personal data: exact patterns, and information-theoretic sanitisation of the terms that give protected entities away.
 
 A protected entity is a value that the patterns find (one address, one number). Terms near its mentions are counted over the
-corpus, copies of the same context once. A term discloses an entity when their pointwise mutual information reaches a share of the
-information content of the entity, log2(documents / mentions): seeing the term then says almost as much as seeing the entity. In
+corpus in distinct texts, so that copies of a text count once. A term discloses an entity when their pointwise mutual information reaches a share of the
+information content of the entity, log2(texts / texts that mention it): seeing the term then says almost as much as seeing the entity. In
 documents that mention the entity, such terms are generalised to a placeholder.
 """
 
@@ -91,43 +91,55 @@ def context(text: str, start: int, end: int) -> list[str]:
 def _contexts(batches):
     for batch in batches:
         rows = []
-        for text in batch.column(0):
+        for text, key in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
             text = text.as_py() or ""
             for start, kind, end in base_spans(text):
                 terms = context(text, start, end)
                 name, seen = entity(text, start, kind, end), xxhash.xxh64_intdigest("\0".join(terms)) - 2**63
-                rows += [(name, seen, t) for t in sorted(set(terms))]
-        columns = [*zip(*rows, strict=True)] if rows else [[], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string()), strict=True)], names=["entity", "context", "term"])
+                rows += [(name, seen, t, key) for t in ["", *sorted(set(terms))]]  # the empty term stands for the mention
+        columns = [*zip(*rows, strict=True)] if rows else [[], [], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.int64()), strict=True)], names=["entity", "context", "term", "key"])
 
 
-def _frequencies(batches, wanted):
-    total = Counter()
+def _frequencies(batches, wanted, repeated):
+    total, copies = Counter(), {}
     for batch in batches:
-        for text in batch.column(0):
-            if text.is_valid:
-                total.update(wanted.value.intersection(TERM.findall(text.as_py().lower())))
-    yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["term", "n"])
-
-
-def document_frequencies(docs: DataFrame, terms: DataFrame, broadcast_rows: int) -> DataFrame:
-    """(term, n): documents that hold each of the terms. At most broadcast_rows terms are broadcast; more are joined by shuffle."""
+        for text, key in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            if text.is_valid and key not in copies:
+                own = wanted.value.intersection(TERM.findall(text.as_py().lower()))
+                if key in repeated.value:
+                    copies[key] = own
+                else:
+                    total.update(own)
+    rows = [(t, None, n) for t, n in total.items()] + [(t, k, 1) for k, own in copies.items() for t in own]
+    columns = [*zip(*rows, strict=True)] if rows else [[], [], []]
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)], names=["term", "key", "n"])
+
+
+def text_frequencies(texts: DataFrame, terms: DataFrame, broadcast_rows: int) -> DataFrame:
+    """(term, n): distinct texts that hold each of the terms. texts: text and its hash, the key. At most broadcast_rows terms and keys of
+    repeated texts are broadcast; more are joined by shuffle."""
     few = [t for (t,) in terms.limit(broadcast_rows + 1).collect()]
-    if len(few) <= broadcast_rows:
-        wanted = docs.sparkSession.sparkContext.broadcast(frozenset(few))
-        return docs.select("text").mapInArrow(partial(_frequencies, wanted=wanted), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    each = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)[^\W\d_]{3,}"), F.lit(0)))).alias("term"))
-    return each.groupBy("term").agg(F.count("*").alias("n")).join(terms, "term", "left_semi")
+    again = [k for (k,) in texts.groupBy("key").count().where("count > 1").select("key").limit(broadcast_rows + 1).collect()]
+    if max(len(few), len(again)) <= broadcast_rows:
+        wanted, repeated = (texts.sparkSession.sparkContext.broadcast(frozenset(x)) for x in (few, again))
+        each = texts.select("text", "key").mapInArrow(partial(_frequencies, wanted=wanted, repeated=repeated), "term string, key long, n long")
+        each = each.groupBy("term", "key").agg(F.sum("n").alias("n")).select("term", F.when(F.isnull("key"), F.col("n")).otherwise(1).alias("n"))
+        return each.groupBy("term").agg(F.sum("n").alias("n"))
+    each = texts.select("key", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)[^\W\d_]{3,}"), F.lit(0)))).alias("term"))
+    return each.join(terms, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n"))
 
 
 def disclosing_terms(docs: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
     """(entity, term) of the terms whose disclosure exceeds the threshold."""
-    seen = stored(docs.select("text").mapInArrow(_contexts, "entity long, context long, term string").distinct())
-    mentions = seen.groupBy("entity").agg(F.count_distinct("context").alias("mentions")).where(F.col("mentions") >= MIN_CONTEXTS)
-    both = seen.groupBy("entity", "term").agg(F.count("*").alias("together")).where(F.col("together") >= MIN_CONTEXTS).join(mentions, "entity")
-    both = stored(both.where(F.col("together") >= MIN_SHARE * F.col("mentions")))
-    n = docs.count()
-    frequencies = document_frequencies(docs, both.select("term").distinct(), broadcast_rows)
+    texts = docs.where("text is not null").select("text", F.xxhash64("text").alias("key"))
+    seen = stored(texts.mapInArrow(_contexts, "entity long, context long, term string, key long").distinct())
+    counts = F.count_distinct("key"), F.count_distinct("context")
+    mentions = seen.where("term = ''").groupBy("entity").agg(counts[0].alias("mentions"), counts[1].alias("contexts")).where(F.col("contexts") >= MIN_CONTEXTS)
+    both = seen.where("term <> ''").groupBy("entity", "term").agg(counts[0].alias("together"), counts[1].alias("shared")).where(F.col("shared") >= MIN_CONTEXTS).join(mentions, "entity")
+    both = stored(both.where(F.col("shared") >= MIN_SHARE * F.col("contexts")))
+    n = texts.select("key").distinct().count()
+    frequencies = text_frequencies(texts, both.select("term").distinct(), broadcast_rows)
     both = both.join(frequencies, "term")
     information = F.log2(F.lit(float(max(n, 2))) / F.col("mentions"))
     mutual = F.log2(F.col("together") * float(max(n, 2)) / (F.col("mentions") * F.greatest("n", "together")))

@@ -167,6 +167,18 @@ def test_disclosing_terms(spark):
     assert {r["doc_id"]: r["spans"] for r in wide.collect()} == {i: r["spans"] for i, r in got.items()}
 
 
+ORDINALS = "first second third fourth fifth sixth seventh eighth ninth tenth".split()
+
+
+def test_copies_do_not_hide_disclosing_terms(spark):
+    docs = [f"the {w} letter to spy@hq.example.org from Falconer" for w in ORDINALS[:5]] + [f"a common day with common words number {i}" for i in range(60)]
+    docs += docs[:1] * 200
+    got = privacy.sanitise(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"))
+    wide = privacy.sanitise(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), broadcast_rows=0)
+    for rows in (got.collect(), wide.collect()):
+        assert all(("[EMAIL]" in r["redacted"]) == ("[TERM]" in r["redacted"]) and "Falconer" not in r["redacted"] for r in rows)
+
+
 def test_privacy_edges(spark):
     got = privacy.sanitise(edge_documents(spark), keep=["doc_id"])
     assert got.count() == len(TEXTS)
