@@ -4,6 +4,9 @@ A protected entity is a value that the patterns find (one address, one number).
 corpus in distinct texts, so that copies of a text count once. A term discloses an entity when their pointwise mutual information reaches a share of the
 information content of the entity, log2(texts / texts that mention it): seeing the term then says almost as much as seeing the entity. In
 documents that mention the entity, such terms are generalised to a placeholder.
+
+Evidence, besides that threshold: a term must stand near the entity in three different contexts, in both where it has two. An entity
+of one context says nothing about words that no other text has, as all of them would be its own; of the others there the threshold decides.
 """
 
 import hashlib
@@ -30,8 +33,8 @@ _DIGIT = re.compile("[0-9]")
 TERM = re.compile(r"[^\W\d_]{3,}")
 #: Context of a mention: so many characters and so many terms on either side.
 CONTEXT_CHARS, CONTEXT_TERMS = 160, 8
-#: Different contexts in which an entity must be seen with a term, share of its contexts, and share of its information content.
-MIN_CONTEXTS, MIN_SHARE, MIN_DISCLOSURE = 3, 0.5, 0.8
+#: Different contexts in which an entity must be seen with a term (all of them, where it has fewer), and share of its information content.
+MIN_CONTEXTS, MIN_DISCLOSURE = 3, 0.8
 
 
 def luhn(digits: str) -> bool:
@@ -135,12 +138,12 @@ def disclosing_terms(docs: DataFrame, broadcast_rows: int = 200_000) -> DataFram
     texts = docs.where("text is not null").select("text", F.xxhash64("text").alias("key"))
     seen = stored(texts.mapInArrow(_contexts, "entity long, context long, term string, key long").distinct())
     counts = F.count_distinct("key"), F.count_distinct("context")
-    mentions = seen.where("term = ''").groupBy("entity").agg(counts[0].alias("mentions"), counts[1].alias("contexts")).where(F.col("contexts") >= MIN_CONTEXTS)
-    both = seen.where("term <> ''").groupBy("entity", "term").agg(counts[0].alias("together"), counts[1].alias("shared")).where(F.col("shared") >= MIN_CONTEXTS).join(mentions, "entity")
-    both = stored(both.where(F.col("shared") >= MIN_SHARE * F.col("contexts")))
+    mentions = seen.where("term = ''").groupBy("entity").agg(counts[0].alias("mentions"), counts[1].alias("contexts"))
+    both = seen.where("term <> ''").groupBy("entity", "term").agg(counts[0].alias("together"), counts[1].alias("shared")).join(mentions, "entity")
+    both = stored(both.where(F.col("shared") >= F.least(F.lit(MIN_CONTEXTS), "contexts")))
     n = texts.select("key").distinct().count()
     frequencies = text_frequencies(texts, both.select("term").distinct(), broadcast_rows)
-    both = both.join(frequencies, "term")
+    both = both.join(frequencies, "term").where((F.col("contexts") > 1) | (F.col("n") > 1))
     information = F.log2(F.lit(float(max(n, 2))) / F.col("mentions"))
     mutual = F.log2(F.col("together") * float(max(n, 2)) / (F.col("mentions") * F.greatest("n", "together")))
     return stored(both.where((information > 0) & (mutual >= MIN_DISCLOSURE * information)).select("entity", "term"))

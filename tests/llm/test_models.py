@@ -179,6 +179,17 @@ def test_copies_do_not_hide_disclosing_terms(spark):
         assert all(("[EMAIL]" in r["redacted"]) == ("[TERM]" in r["redacted"]) and "Falconer" not in r["redacted"] for r in rows)
 
 
+def test_disclosure_alone_decides_in_varied_and_few_contexts(spark):
+    docs = [f"the {w} letter to spy@hq.example.org from {'Falconer' if i < 4 else 'someone'}" for i, w in enumerate(ORDINALS)]
+    docs += [f"the {w} note to agent@hq.example.org from Kestrel" for w in ORDINALS[:2]]
+    docs += ["a single note to lone@hq.example.org from Merlin and Osprey", "later Merlin left"]
+    docs += [f"a common day, note and letter from someone to the {w} common word" for w in ORDINALS * 6]
+    docs = [f"{t} {i}" for i, t in enumerate(docs)]
+    got = [r["redacted"] for r in privacy.sanitise(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert not any(w in t for t in got[:12] for w in ("Falconer", "Kestrel"))
+    assert "Osprey" in got[12] and got[13] == docs[13] and all("[TERM]" not in t for t in got[4:10])
+
+
 def test_privacy_edges(spark):
     got = privacy.sanitise(edge_documents(spark), keep=["doc_id"])
     assert got.count() == len(TEXTS)
