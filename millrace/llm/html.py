@@ -1,7 +1,7 @@
 """Main text of web pages, with site templates removed.
 
-Element subtrees outside the article are hashed, counted for each host over the whole table, and deleted where they recur on many
-pages of that host. Elements that are boilerplate by name or class go in any case. What remains is read block by block.
+Element subtrees outside the article that hold no article are hashed, counted for each host over the whole table by distinct pages
+(copies of a page count once), and deleted where they recur on many pages of that host. Elements that are boilerplate by name or class go in any case. What remains is read block by block.
 """
 
 import re
@@ -117,11 +117,26 @@ def subtree_hash(html: str, start: int, end: int) -> int:
     return xxhash.xxh64_intdigest(html[start:end].encode("utf-8", "surrogatepass")) - 2**63
 
 
+def holders(parsed: list[tuple]) -> set[int]:
+    """Starts of the elements that are an article or hold one."""
+    out, opened = set(), []
+    for e in parsed:
+        if e[0] == "open":
+            opened.append(e[2])
+            if e[1] in ("article", "main") and not e[3]:
+                out.update(opened)
+        elif e[0] == "close":
+            opened.pop()
+    return out
+
+
 def subtrees(html: str) -> set[int]:
-    """Hashes of the block elements outside the article that are not boilerplate by name anyway."""
-    out, bad_depth, depth, article = set(), 0, 0, 0
+    """Hashes of the block elements outside the article, and not around one, that are not boilerplate by name anyway."""
+    out, bad_depth, article = set(), 0, 0
     marks: list[tuple[bool, bool]] = []
-    for e in elements(html):
+    parsed = elements(html)
+    around = holders(parsed)
+    for e in parsed:
         if e[0] == "open":
             is_article = e[1] in ("article", "main") and not e[3]
             marks.append((e[3], is_article))
@@ -129,7 +144,7 @@ def subtrees(html: str) -> set[int]:
             article += is_article
         elif e[0] == "close":
             bad, is_article = marks.pop()
-            if not bad_depth and not article and e[1] not in INLINE and e[1] not in ("html", "body"):
+            if not bad_depth and not article and e[2] not in around and e[1] not in INLINE and e[1] not in ("html", "body"):
                 out.add(subtree_hash(html, e[2], e[3]))
             bad_depth -= bad
             article -= is_article
@@ -140,8 +155,9 @@ def main_text(html: str | None, templates=frozenset()) -> str:
     """Blocks of the article (or of the whole body where there is none), joined by one line feed."""
     html = html or ""
     parsed = elements(html)
-    ends = {}
+    ends, around = {}, set()
     if templates:
+        around = holders(parsed)
         for e in parsed:
             if e[0] == "close":
                 ends[e[2]] = e[3]
@@ -165,7 +181,7 @@ def main_text(html: str | None, templates=frozenset()) -> str:
                 piece.append(" ")
         elif kind == "open":
             is_article = e[1] in ("article", "main") and not e[3]
-            bad = e[3] or bool(templates) and not article and not is_article and e[1] not in INLINE and e[2] in ends and subtree_hash(html, e[2], ends[e[2]]) in templates
+            bad = e[3] or bool(templates) and not article and e[2] not in around and e[1] not in INLINE and e[2] in ends and subtree_hash(html, e[2], ends[e[2]]) in templates
             marks.append((bad, is_article))
             if e[1] not in INLINE:
                 flush()
@@ -183,17 +199,19 @@ def main_text(html: str | None, templates=frozenset()) -> str:
 
 def _hashes(batches):
     for batch in batches:
-        hosts, hashes = [], []
+        hosts, hashes, pages = [], [], []
         for host, html in zip(batch.column(0), batch.column(1), strict=True):
-            own = {0} | subtrees(html.as_py() or "")
+            html = html.as_py() or ""
+            own = {0} | subtrees(html)
             hosts += [host.as_py()] * len(own)
             hashes += own
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "subtree"])
+            pages += [subtree_hash(html, 0, len(html))] * len(own)
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(pages, pa.int64())], names=["host", "subtree", "page"])
 
 
 def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, subtree) of the subtrees that recur on many pages of their host. Subtree 0 counts the pages."""
-    counted = pages.select("host", "html").mapInArrow(_hashes, "host string, subtree long").groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    """(host, subtree) of the subtrees that recur on many different pages of their host. Subtree 0 counts the different pages."""
+    counted = pages.select("host", "html").mapInArrow(_hashes, "host string, subtree long, page long").distinct().groupBy("host", "subtree").agg(F.count("*").alias("n"))
     counted = stored(counted.where(F.col("n") >= min_pages))
     whole = counted.where("subtree = 0").select("host", F.col("n").alias("pages"))
     found = counted.where("subtree <> 0").join(whole, "host").where(F.col("n") >= min_share * F.col("pages"))

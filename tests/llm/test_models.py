@@ -230,6 +230,14 @@ def test_article_paragraphs_are_never_templates(spark):
     assert {r["text"] for r in got.collect()} == {"same\ntext"}
 
 
+def test_copied_pages_keep_their_text(spark):
+    pages = ["<body><div id=page><article><p>copied story</p></article></div></body>", "<body><div><p>copied body</p></div></body>"]
+    rows = [(i, f"https://h.org/{i}", pages[i % 2]) for i in range(40)]
+    rows += [(100 + i, f"https://w.org/{i}", f"<body><div id=page><article><p>same story</p></article></div><!-- {i} --></body>") for i in range(40)]
+    got = html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {(r["page_id"] % 2 if r["page_id"] < 100 else 2, r["text"]) for r in got.collect()} == {(0, "copied story"), (1, "copied body"), (2, "same story")}
+
+
 @pytest.mark.parametrize("weights", [{"a": 1}, {"a": 5, "b": 3.3, "c": 1.1, "d": 0.01}, {str(i): 1 + i % 3 for i in range(40)}])
 def test_pfair_deviation_is_below_one_block(weights):
     shares = mixing.rounded(weights, 1000)
