@@ -5,13 +5,11 @@ hashes its shingles once; bin i keeps the least hash of its range, and an empty
 names first among those that are not empty. Bands of bins make buckets. A bucket proposes edges from its centre to its members, never
 pairs among members; edges are confirmed on the full sets. A star can lose a link between two members that are not centres.
 So documents that share a bucket with another component meet again in buckets of their rarest shingles (two sets of the similarity
-share one of these). Stars from members drawn anew join what is easily joined; then every pair of different components that is left in
-these buckets is compared, save those that sizes, positions or bitmaps prove to be below the similarity. Components come from alternating
-large-star and small-star passes over the confirmed links.
+share one of these), and every pair of different components that is left in these buckets is compared, save those that sizes, positions
+or bitmaps prove to be below the similarity. Components come from alternating large-star and small-star passes over the confirmed links.
 """
 
 from functools import partial, reduce
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import release, stored
+from ..sources.shared import forget, release, small_side, stored
 from .common import table
 from .hashing import mixed, word_hashes
 
@@ -27,8 +25,10 @@ from .hashing import mixed, word_hashes
 BANDS, ROWS = 45, 6
 BINS = BANDS * ROWS
 _TRIES = 4096
-#: Members up to which the largest component of a bucket is enumerated in the rounds of repair.
-SMALL = 64
+#: Ids or edges that are broadcast at most (16 bytes each); more are joined by shuffle.
+MAX_BROADCAST_ROWS = 1_000_000
+#: Members of a centre that are compared in one group; a larger star is dealt to several, each with the centre's set.
+STAR = 200
 SKETCH_BITS = 16
 #: Words of the bitmap of a set. A bucket with more comparisons than MOST is split by one more shared shingle, up to DEPTH times.
 WORDS, MOST, DEPTH = 8, 200_000, 2
@@ -102,15 +102,24 @@ def _sets(batches, size: int):
 
 
 def _confirm(batches, percent: int):
+    """Rows sorted by centre and part: the centre's set (once for each text that has its id), then the members' sets."""
+    key, heads, fresh = None, [], False
     for batch in batches:
-        a, b, left, right = (batch.column(i) for i in range(4))
-        keep = []
-        for x, y in zip(left, right, strict=True):
-            x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= percent * (len(x) + len(y) - both))
-        keep = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
+        c, m = [], []
+        for centre, part, member, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+            own = np.frombuffer(own.as_buffer(), np.uint64)
+            if member is None:
+                heads = [*heads, own] if (centre, part) == key and fresh else [own]
+                key, fresh = (centre, part), True
+                continue
+            fresh = False
+            for head in heads if (centre, part) == key else ():
+                both = len(np.intersect1d(head, own, assume_unique=True))
+                if 100 * both >= percent * (len(head) + len(own) - both):
+                    c.append(centre)
+                    m.append(member)
+                    break
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(m, pa.int64())], names=["a", "b"])
 
 
 def crowded(reps: DataFrame) -> DataFrame:
@@ -120,14 +129,18 @@ def crowded(reps: DataFrame) -> DataFrame:
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     rows = stored(rows.join(sizes, "bucket"))
     weight = rows.groupBy("id").agg(F.sum("size").alias("weight"))
-    return stored(rows.drop("size").join(weight, "id"))
+    out = stored(rows.drop("size").join(weight, "id"))
+    forget(rows)
+    return out
 
 
 def star_edges(buckets: DataFrame, percent: int) -> DataFrame:
-    """Distinct edges (a < b) from the heaviest member of each bucket to the others. The same few documents lead a group's buckets in
+    """Distinct edges (centre c, member m) from the heaviest member of each bucket to the others. The same few documents lead a group's buckets in
     all bands, so that a group of any size has few edges for each member."""
     head = F.max_by(F.struct("id", "n"), F.struct("weight", -F.col("id")))
-    return _edges(buckets.join(buckets.groupBy("bucket").agg(head.alias("c")), "bucket").select("id", "n", "c"), percent)
+    pairs = buckets.join(buckets.groupBy("bucket").agg(head.alias("c")), "bucket").select("id", "n", "c")
+    may = pairs.where((F.col("id") != F.col("c.id")) & (100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")))
+    return may.select(F.col("c.id").alias("c"), F.col("id").alias("m")).distinct()
 
 
 def _sketch(batches):
@@ -175,24 +188,8 @@ def rare_buckets(buckets: DataFrame, labels: DataFrame, sets: DataFrame, percent
     return stored(own.mapInArrow(partial(_rare, counts=value, percent=percent), "id long, n long, own int, tokens array<long>, bits array<long>"))
 
 
-def repair_edges(buckets: DataFrame, labels: DataFrame, percent: int, round_no: int) -> DataFrame:
-    """Distinct edges between different components of a bucket: stars from members that are drawn anew in each round. Of the largest
-    component only drawn members count, however many it has."""
-    rows = buckets.join(labels, "id", "left").select("bucket", "id", "n", F.coalesce("label", "id").alias("label"))
-    member = F.struct("id", "n", "label")
-    draws = [F.min_by(member, F.xxhash64("id", "bucket", F.lit(f"{round_no}.{i}"))) for i in range(3)]
-    parts = rows.groupBy("bucket", "label").agg(F.count("*").alias("size"), F.array_distinct(F.array(*draws)).alias("draws"))
-    lead, other = F.struct("size", "label"), F.struct(F.xxhash64("label", "bucket", F.lit(round_no)), "label")
-    centres = parts.groupBy("bucket").agg(
-        F.count("*").alias("parts"), F.max(lead).alias("lead"), F.max_by("draws", lead).alias("first"), F.min_by("draws", other).alias("second")
-    ).where("parts > 1")
-    centres = centres.select("bucket", F.col("lead.size").alias("most"), F.col("lead.label").alias("lead"), F.array_union("first", "second").alias("centres"))
-    pairs = rows.join(centres, "bucket").where((F.col("most") <= SMALL) | (F.col("label") != F.col("lead")))
-    return _edges(pairs.select("id", "n", "label", F.explode("centres").alias("c")).where("label <> c.label"), percent)
-
-
 def cross_edges(rare: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Distinct edges (a < b) of all pairs of different components that share a rare bucket and may reach the similarity.
+    """Distinct edges (c, m) of all pairs of different components that share a rare bucket and may reach the similarity.
 
     In a bucket the members outside its largest component are compared with all members, so pairs within that component cost nothing. A
     bucket with many comparisons is split by the next shingle that both must share; sets of the similarity that are not equal share
@@ -217,7 +214,7 @@ def cross_edges(rare: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         once = (F.col("y.label") == F.col("x.lead")) | (F.col("x.id") < F.col("y.id"))
         may = near & (rest * (100 + percent) >= percent * sizes) & (differ * (100 + percent) <= (100 - percent) * sizes)
         both = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & once & may)
-        out.append(both.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")))
+        out.append(both.select(F.least("x.id", "y.id").alias("c"), F.greatest("x.id", "y.id").alias("m")))
         if level < depth:
             hot = rows.where(F.col("work") > MOST).select("id", "n", "label", "at", "bucket")
             if hot.isEmpty():
@@ -228,16 +225,20 @@ def cross_edges(rare: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return reduce(DataFrame.unionByName, out).distinct()
 
 
-def _edges(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs whose set sizes allow the similarity."""
-    pairs = pairs.where((F.col("id") != F.col("c.id")) & (100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")))
-    return pairs.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
-
-
 def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The edges whose full sets meet the similarity."""
-    both = edges.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(partial(_confirm, percent=percent), "a long, b long")
+    """Links (a, b): the edges (c, m) whose full sets meet the similarity. The sets stay where they are; those of the edges go to their
+    centres, each member once for each of its edges, and a centre once for each STAR members."""
+    edges = stored(edges)
+    size = edges.groupBy("c").agg(F.ceil(F.count("*") / STAR).alias("parts"))
+    plain, edges = edges, stored(edges.join(size, "c").select("c", "m", F.pmod(F.xxhash64("m"), "parts").alias("part")))
+    forget(plain)
+    centres = edges.select("c", "part").distinct()
+    members = sets.join(small_side(edges, MAX_BROADCAST_ROWS), F.col("id") == F.col("m")).select("c", "part", "m", "shingles")
+    heads = sets.join(small_side(centres, MAX_BROADCAST_ROWS), F.col("id") == F.col("c")).select("c", "part", F.lit(None).cast("long").alias("m"), "shingles")
+    rows = members.unionByName(heads).repartition("c", "part").sortWithinPartitions("c", "part", F.col("m").asc_nulls_first())
+    links = stored(rows.mapInArrow(partial(_confirm, percent=percent), "a long, b long").distinct())
+    forget(edges)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -249,42 +250,47 @@ def components(links: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        edges = stored(small.select("e.u", "e.v").where("u <> v").distinct())
+        last, edges = edges, stored(small.select("e.u", "e.v").where("u <> v").distinct())
+        forget(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             return edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
         state = now
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels (id, label) after further links (a, b): components of the labels, then renamed."""
+    ends = links
+    for end in ("a", "b"):
+        ends = ends.join(labels.withColumnRenamed("id", end), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    renamed = components(ends)
+    old = labels.join(renamed.select(F.col("id").alias("label"), F.col("label").alias("new")), "label", "left")
+    return stored(old.select("id", F.coalesce("new", "label").alias("label")).unionByName(renamed))
+
+
 def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     """Connected components of the documents whose shingle sets have a Jaccard similarity of percent / 100 at least.
 
     Returns doc_id, text_hash, n_shingles, component_id (smallest doc_id reachable), kept (the row with that doc_id), one row per
-    input row.
+    input row; an empty table gives none.
     Null, empty and wordless texts have no shingles and are linked with nothing. Rows with a null doc_id are linked with nothing, have
-    a null component and are kept. Rows that share a doc_id and lead their component are all kept. Extra columns are ignored."""
+    a null component and are kept. Rows that share a doc_id are one node, and are all kept where they lead their component. A long text
+    counts whole. Extra columns are ignored."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stored(signatures(docs, size))
     linkable = signed.where("n_shingles > 0 and doc_id is not null")
     classes = linkable.groupBy("set_hash").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = stored(classes)
     buckets = crowded(classes)
-    wanted = buckets.select("id").distinct()
-    texts = docs.withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi")
+    wanted = stored(buckets.select("id").distinct())
+    texts = docs.withColumnRenamed("doc_id", "id").join(small_side(wanted, MAX_BROADCAST_ROWS), "id", "left_semi")
     sets = stored(texts.mapInArrow(partial(_sets, size=size), "id long, shingles binary"))
-    links = stored(confirmed(star_edges(buckets, percent), sets, percent))
-    labels = components(links)
+    labels = components(confirmed(star_edges(buckets, percent), sets, percent))
     rare = rare_buckets(buckets, labels, sets, percent)
-    shared = rare.select(F.explode(F.slice("tokens", F.lit(1), F.col("own"))).alias("bucket"), "id", "n")
-    for draw in count(1):
-        new = stored(confirmed(repair_edges(shared, labels, percent, draw), sets, percent))
-        if new.isEmpty():
-            break
-        links = links.unionByName(new)
-        labels = components(links)
-    new = stored(confirmed(cross_edges(rare, labels, percent), sets, percent))
+    new = confirmed(cross_edges(rare, labels, percent), sets, percent)
     if not new.isEmpty():
-        labels = components(links.unionByName(new))
+        labels = joined(labels, new)
+    forget(buckets, wanted, sets, rare, new)
     release(docs.sparkSession)
     named = classes.select("set_hash", "id")
     named = named.join(labels, "id", "left").select("set_hash", F.coalesce("label", "id").alias("id"))

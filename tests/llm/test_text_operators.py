@@ -205,9 +205,8 @@ def test_near_duplicates_need_no_stars(spark, monkeypatch, most):
             family.append(w + rng.choice([[], ["coda"]]))
         docs += [" ".join(w) for w in family]
     docs = list(enumerate(docs))
-    none = lambda buckets, *_: buckets.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
+    none = lambda buckets, *_: buckets.select(F.col("id").alias("c"), F.col("id").alias("m")).where("false")
     monkeypatch.setattr(neardup, "star_edges", none)
-    monkeypatch.setattr(neardup, "repair_edges", none)
     monkeypatch.setattr(neardup, "MOST", most, raising=False)
     got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
     want = brute_components(docs)
@@ -215,6 +214,39 @@ def test_near_duplicates_need_no_stars(spark, monkeypatch, most):
     assert len({c for _, _, c in want}) < len(docs) - 40
 
 
+@pytest.mark.parametrize(("star", "broadcast"), [(200, 1_000_000), (3, 0)])
+def test_large_families_lose_no_link(spark, monkeypatch, star, broadcast):
+    """Families of over 200 near copies whose links lie about the similarity; large stars are dealt to groups, and no side is broadcast."""
+    import random
+
+    monkeypatch.setattr(neardup, "STAR", star)
+    monkeypatch.setattr(neardup, "MAX_BROADCAST_ROWS", broadcast)
+    rng = random.Random(21)
+    docs = []
+    for f in range(3):
+        base = [f"v{f}x{i}" for i in range((30, 60, 100)[f])]
+        for _ in range(210):
+            w = list(base)
+            for at in rng.sample(range(len(w)), rng.choice([1, 2, 3, 5, 6])):
+                w[at] = f"n{rng.randrange(30)}"
+            docs.append(" ".join(w))
+    docs = list(enumerate(docs))
+    got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(4))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == brute_components(docs)
+
+
+def test_stored_tables_are_deleted(spark):
+    import os
+
+    from millrace.sources import shared
+
+    a = shared.stored(spark.range(3).toDF("n"))
+    where = a.stored_path.removeprefix("file:").replace("//", "/")
+    assert os.path.isdir(where) and a.count() == 3
+    shared.forget(a, spark.range(2))
+    assert not os.path.exists(where)
+
+
 def test_near_duplicates_edges(spark):
     got = neardup.near_duplicates(edge_documents(spark))
     docs = [(i, t) for i, t, _, _ in TEXTS if i != 10]
