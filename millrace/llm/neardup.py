@@ -30,8 +30,9 @@ MAX_BROADCAST_ROWS = 1_000_000
 #: Members of a centre that are compared in one group; a larger star is dealt to several, each with the centre's set.
 STAR = 200
 SKETCH_BITS = 16
-#: Words of the bitmap of a set. A bucket with more comparisons than MOST is split by one more shared shingle, up to DEPTH times.
-WORDS, MOST, DEPTH = 8, 200_000, 2
+#: Words of the bitmap of a set. A bucket with more comparisons than MOST (some seconds of one task) is split by one more shared shingle,
+#: up to DEPTH times; a split makes a row for each further shingle of a member, so small buckets are better compared at once.
+WORDS, MOST, DEPTH = 8, 20_000_000, 2
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
