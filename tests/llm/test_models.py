@@ -238,6 +238,41 @@ def test_copied_pages_keep_their_text(spark):
     assert {(r["page_id"] % 2 if r["page_id"] < 100 else 2, r["text"]) for r in got.collect()} == {(0, "copied story"), (1, "copied body"), (2, "same story")}
 
 
+def test_templates_alone_remove_boilerplate(spark):
+    """Without names, what recurs on a host goes: menus, notices beside the article, and advert containers inside it; its text blocks stay."""
+
+    def page(i, host):
+        menu = f"<div data-n='{i}'><ul><li><a href='/{i}'>Home</a></li><li><a href='/a?{i}'>About</a></li></ul></div>"
+        advert = f"<div id='x{i}'><span>Buy now at half price</span></div>"
+        return (i, f"https://{host}/{i}", f"<body>{menu}<article><h1>Title {i}</h1><p>Our usual greeting.</p><p>Body of story {i} goes on for a while.</p>{advert}</article><section>Accept all</section></body>")
+
+    rows = [page(i, "big.org") for i in range(30)] + [page(100 + i, "small.org") for i in range(3)] + [page(0, "big.org")] * 2
+    df = spark.createDataFrame([(*r, "text", "host") for r in rows], "page_id long, url string, html string, text string, host string")
+    got = html.extract_pages(df, names=False).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        story = f"Title {r['page_id']}\nOur usual greeting.\nBody of story {r['page_id']} goes on for a while."
+        assert r["text"] == (story if r["page_id"] < 100 else story + "\nBuy now at half price")
+    bare = [(r[0], r[1], r[2].replace("article>", "div>")) for r in rows]
+    got = html.extract_pages(spark.createDataFrame(bare, "page_id long, url string, html string"), names=False).where("page_id < 100").collect()
+    assert not any("Home" in r["text"] or "Accept" in r["text"] for r in got) and all(f"Body of story {r['page_id']} " in r["text"] for r in got)
+
+
+def test_one_article_under_many_titles_is_no_template(spark):
+    rows = [(i, f"https://h.org/{i}", f"<article><h1>Number {i}</h1><div>the same long body of one story that runs on</div></article>") for i in range(40)]
+    got = html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r["text"] for r in got.collect()} == {f"Number {i}\nthe same long body of one story that runs on" for i in range(40)}
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a "', "<a x='", "<div>", "</p>", "<div class=ad><article>", "<!--", "<", "</", "<script>", "<title></title x", "<article><div>x", "<p title=''>", "&amp"])
+def test_hostile_pages_cost_what_their_length_does(piece):
+    import time
+
+    began = time.perf_counter()
+    html.main_text(piece * (200_000 // len(piece)) + "</p>" * 20_000 + "</div>" * 20_000, frozenset({1}))
+    assert time.perf_counter() - began < 10
+
+
 @pytest.mark.parametrize("weights", [{"a": 1}, {"a": 5, "b": 3.3, "c": 1.1, "d": 0.01}, {str(i): 1 + i % 3 for i in range(40)}])
 def test_pfair_deviation_is_below_one_block(weights):
     shares = mixing.rounded(weights, 1000)
