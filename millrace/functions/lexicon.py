@@ -106,7 +106,8 @@ FIXTURE = replace(
     answer_reject=[r"\b(for|von)\b", r"^[-*]\s+", r"^the\b"],
 )
 
-# Library metadata, and the start of front matter, with the author's name in capitals as a parameter.
+# Library metadata, and the start of front matter. The author's name is a parameter; by default any name in capitals
+# counts, which is wider than one author's.
 METADATA = [r"classiques des sciences sociales", r"jean-marie tremblay", r"charles bolduc", r"cégep de chicoutimi", r"université du québec", r"bibliothèque paul-émile", r"distributed proofreaders", r"politique\s+d'utilisation", r"reproduction et rediffusion", r"édition électronique", r"domaine public au canada", r"droits d'auteur de votre pays", r"courriel\s*:", r"site web pédagogique", r"page web personnelle", r"à propos de cette édition", r"texte libre de droits", r"conversion informatique", r"http[s]?://"]
 
 

@@ -124,10 +124,19 @@ def any_of(patterns: list[str]) -> str:
     return "|".join(f"(?:{p})" for p in patterns)
 
 
+def bound(c: Column, body) -> Column:
+    """body(c) with c computed once: a lambda binds it, so that the optimizer cannot copy its expression to every place of use."""
+    return F.get(F.transform(F.array(c), body), F.lit(0))
+
+
 def truncate_lines(lines: Column, stops: list[str] = STOP_LINES) -> Column:
     """Lines before the first stop line."""
-    at = F.array_position(F.transform(lines, lambda x: x.rlike(regex(any_of(stops)))), True)
-    return F.when(at > 0, F.slice(lines, F.lit(1), (at - 1).cast("int"))).otherwise(lines)
+
+    def cut(x: Column) -> Column:
+        at = F.array_position(F.transform(x, lambda line: line.rlike(regex(any_of(stops)))), True)
+        return F.slice(x, F.lit(1), bound(at, lambda i: F.when(i > 0, i - 1).otherwise(F.size(x))).cast("int"))
+
+    return bound(lines, cut)
 
 
 def clean_text(c: Column, noise: list[str] = NOISE, dropped: list[str] = DROPPED_LINES, stops: list[str] = STOP_LINES) -> Column:

@@ -3,11 +3,11 @@
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lexicon import METADATA, Lexicons, any_pattern, front_matter_starts, pattern_hits, word_hits
-from ..functions.text import occurrences, strip
+from ..functions.text import bound, occurrences, strip
 
 
 def is_metadata(c: Column, patterns: list[str] = METADATA) -> Column:
@@ -17,13 +17,33 @@ def is_metadata(c: Column, patterns: list[str] = METADATA) -> Column:
 def is_table_of_contents(c: Column) -> Column:
     """5 to 60 lines with text, of which more than nine tenths are shorter than 50 characters."""
     lines = F.filter(F.transform(F.split(c, "\n"), strip), lambda x: x != "")
-    short = F.size(F.filter(lines, lambda x: F.char_length(x) < 50))
-    return F.size(lines).between(5, 60) & (short / F.greatest(F.size(lines), F.lit(1)) > 0.9)
+
+    def short(x: Column) -> Column:
+        return F.size(x).between(5, 60) & (F.size(F.filter(x, lambda line: F.char_length(line) < 50)) / F.greatest(F.size(x), F.lit(1)) > 0.9)
+
+    return bound(lines, short)
+
+
+def front_matter(c: Column, starts: list[str] | None = None, metadata: list[str] = METADATA) -> Column:
+    """struct<metadata, contents, any>: the rules, each computed once for a text, and whether the text is front matter by any of them."""
+
+    def rules(t: Column) -> Column:
+        each = F.struct(is_metadata(t, metadata).alias("metadata"), is_table_of_contents(t).alias("contents"))
+        rest = (F.char_length(t) < 100) | any_pattern(t, starts or front_matter_starts(), "Umd")
+        return bound(each, lambda r: F.struct(r["metadata"].alias("metadata"), r["contents"].alias("contents"), (r["metadata"] | r["contents"] | rest).alias("any")))
+
+    return bound(strip(F.replace(F.coalesce(c, F.lit("")), F.lit("\u00a0"), F.lit(" "))), rules)
 
 
 def is_front_matter(c: Column, starts: list[str] | None = None, metadata: list[str] = METADATA) -> Column:
-    t = strip(F.replace(F.coalesce(c, F.lit("")), F.lit("\u00a0"), F.lit(" ")))
-    return (F.char_length(t) < 100) | is_metadata(t, metadata) | is_table_of_contents(t) | any_pattern(t, starts or front_matter_starts(), "Umd")
+    return front_matter(c, starts, metadata)["any"]
+
+
+def content_text(items: DataFrame, book: str, order: str, text: str = "text", **rules) -> DataFrame:
+    """(book, n_items, text): each book's items without its front matter, in order, with a blank line between."""
+    kept = items.where(~is_front_matter(F.col(text), **rules)).select(book, F.struct(F.col(order).alias("o"), F.col(text).alias("t")).alias("i"))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list("i")), lambda i: i["t"]), "\n\n")
+    return kept.groupBy(book).agg(F.count("*").alias("n_items"), joined.alias("text"))
 
 
 def is_logistic(lower: Column, lex: Lexicons) -> Column:
@@ -31,8 +51,8 @@ def is_logistic(lower: Column, lex: Lexicons) -> Column:
 
 
 def is_context_dependent(lower: Column, lex: Lexicons) -> Column:
-    strong = pattern_hits(lower, lex.context_strong)
-    return (strong >= 1) | (strong + pattern_hits(lower, lex.context_weak) >= 2)
+    """One strong hit, or two weak ones."""
+    return any_pattern(lower, lex.context_strong) | (pattern_hits(lower, lex.context_weak) >= 2)
 
 
 def has_lyric_combo(lower: Column, lex: Lexicons) -> Column:

@@ -1,6 +1,6 @@
 """Keyed comparison of numeric arrays before and after a change, with a verdict."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,20 @@ def verdict(compared: DataFrame) -> DataFrame:
     return out.withColumn("verdict", F.when((F.col("target_identical") > 0) | (F.col("target_modified") == 0), "FAIL").otherwise("PASS"))
 
 
+def indexed_lookup(wanted: DataFrame, index: DataFrame, tensors: DataFrame, key: str, shard: str, values: str) -> DataFrame:
+    """(key, shard, values) for every wanted key: the index names its shard, the shard holds its values. A key that the index or the shard
+    lacks has nulls."""
+    placed = wanted.select(key).join(index.select(key, shard), key, "left")
+    return placed.join(tensors.select(key, shard, values), [key, shard], "left").select(key, shard, values)
+
+
+def mapped(c: Column, names: dict[str, str], default: str | None = None) -> Column:
+    """The value of a fixed map, default (null) for a key that it lacks."""
+    entries = [F.lit(x) for pair in names.items() for x in pair]
+    found = F.try_element_at(F.create_map(*entries), c) if entries else F.lit(None).cast("string")
+    return F.coalesce(found, F.lit(default).cast("string"))
+
+
 def module_keys(spark: SparkSession, layers: list[int], attention: list[str], mlp: list[str], controls: list[str]) -> DataFrame:
     """(key, is_target): every layer with every module under its path, and the controls. Both lists are literals of a fixed size."""
     modules = spark.createDataFrame([(m, "self_attn") for m in attention] + [(m, "mlp") for m in mlp], "module string, part string")

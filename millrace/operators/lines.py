@@ -12,21 +12,19 @@ DROPPED = r"^Chapitre \d+$|^\|\d+|^\*$|^\d+$"
 NUMBERED = r"^\d+\.\d+\s+"
 
 
-def drop_footnote_blocks(c: Column) -> Column:
-    """A line that opens a footnote is dropped with all lines up to the next blank one, which stays. Titles lose their numbers.
+#: Stands for a run of dropped lines while a text is worked on; a line of the text that is just this is dropped as well.
+GONE = "\x00\x1a"
 
-    The state runs along the lines of one text, so it is a fold over its array: no exchange, and no cost between texts."""
-    lines = F.transform(F.split(c, "\n"), strip)
-    marked = F.transform(lines, lambda x: F.struct(x.alias("x"), (x == "").alias("blank"), x.rlike(regex(FOOTNOTE)).alias("opens")))
-    zero = F.struct(F.lit(False).alias("on"), F.array().cast("array<boolean>").alias("seen"))
 
-    def step(a: Column, x: Column) -> Column:
-        on = ~x["blank"] & (a["on"] | x["opens"])
-        return F.struct(on.alias("on"), F.concat(a["seen"], F.array(on)).alias("seen"))
+def drop_footnote_blocks(c: Column) -> Column:
+    """A line that opens a footnote is dropped with all lines up to the next blank one, which stays. Titles lose their numbers.
 
-    inside = F.aggregate(marked, zero, step, lambda a: a["seen"])
-    kept = F.filter(F.zip_with(lines, inside, lambda x, n: F.struct(x.alias("x"), n.alias("n"))), lambda s: ~s["n"] & (s["x"].rlike(regex(NUMBERED)) | ~s["x"].rlike(regex(DROPPED))))
-    return F.array_join(F.transform(kept, lambda s: F.regexp_replace(s["x"], regex(NUMBERED), "")), "\n")
+    Lines are stripped, so a blank one shows as two line feeds, and one pass over the text finds the runs, however many lines it has."""
+    text = F.array_join(F.transform(F.split(c, "\n"), strip), "\n")
+    run = FOOTNOTE.replace(r"\s+", r"[^\S\n]+") + r"[\s\S]*?(?=\n\n|\n\z|\z)"
+    lines = F.split(F.regexp_replace(text, regex(run, "Umd"), GONE), "\n")
+    kept = F.filter(lines, lambda x: (x != GONE) & (x.rlike(regex(NUMBERED)) | ~x.rlike(regex(DROPPED))))
+    return F.array_join(F.transform(kept, lambda x: F.regexp_replace(x, regex(NUMBERED), "")), "\n")
 
 
 def join_pages(pages: DataFrame, book: str, page: str, headers: list[str]) -> DataFrame:

@@ -33,9 +33,12 @@ def is_copy(source: Column, answer: Column, most: float = 0.30) -> Column:
     return F.coalesce(containment(source, answer) > most, F.lit(False)) | F.coalesce(long_segment(source, answer), F.lit(False))
 
 
-def checked_broadcast(df: DataFrame, most_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast df if it has at most most_rows rows; otherwise leave the join to shuffle both sides."""
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+def checked_broadcast(df: DataFrame, most_rows: int = 2_000_000, most_bytes: int = 256_000_000) -> DataFrame:
+    """Broadcast df if it has at most most_rows rows and, as JSON, most_bytes; otherwise leave the join to shuffle both sides."""
+    if df.limit(most_rows + 1).count() > most_rows:
+        return df
+    size = df.select(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= most_bytes else df
 
 
 def corpus_containment(docs: DataFrame, items: DataFrame, least: float = 0.30) -> DataFrame:
@@ -53,11 +56,29 @@ def corpus_containment(docs: DataFrame, items: DataFrame, least: float = 0.30) -
     return pairs.where(F.col("hits") / F.col("item_grams") > least).select("doc_id", "item_id", "hits", "item_grams")
 
 
-def corpus_long_segments(items: DataFrame, docs: DataFrame, least: int = 90) -> DataFrame:
-    """(doc_id, item_id, segments): sentences of at least so many characters that an item and a document share as sentences."""
+#: Words of the run inside a sentence that is looked up; shorter sentences are looked up by so many characters of their longest word.
+ANCHOR_WORDS, ANCHOR_CHARS = 3, 16
 
-    def long_sentences(df: DataFrame, key: str) -> DataFrame:
-        return df.select(key, F.explode(F.array_distinct(sentences_loose(F.lower(normalize_ws(F.col("text")))))).alias("s")).where(F.char_length("s") >= least)
 
-    shared = long_sentences(docs, "doc_id").join(checked_broadcast(long_sentences(items, "item_id"), 200_000), "s")
-    return shared.groupBy("doc_id", "item_id").agg(F.count("*").alias("segments"))
+def corpus_long_segments(items: DataFrame, docs: DataFrame, least: int = 90) -> DataFrame:
+    """(doc_id, item_id, segments): how many different sentences of an item, of at least so many characters, stand verbatim anywhere in a
+    document, case and spacing aside; they may begin and end inside its words.
+
+    A sentence is looked up by the first words inside it, which are whole words wherever it stands. Where it has too few, one of its
+    words has at least least / (ANCHOR_WORDS + 1) - 1 characters, and a part of that one is looked up in the documents' words of that
+    length. Each candidate is confirmed on the whole text."""
+    longest = max(ANCHOR_CHARS, -(-(least - ANCHOR_WORDS) // (ANCHOR_WORDS + 1)))
+    s = items.select("item_id", F.explode(F.array_distinct(sentences_loose(F.lower(normalize_ws(F.col("text")))))).alias("s")).where(F.char_length("s") >= least)
+    w = F.split("s", " ")
+    top = F.array_max(F.transform(w, lambda x: F.struct(F.char_length(x).alias("n"), x.alias("x"))))["x"]
+    anchor = F.when(F.size(w) >= ANCHOR_WORDS + 2, F.xxhash64(*(F.get(w, F.lit(i + 1)) for i in range(ANCHOR_WORDS)))).otherwise(F.xxhash64(F.lit("part"), F.substring(top, 1, ANCHOR_CHARS)))
+    s = s.select("item_id", "s", anchor.alias("anchor"))
+    index = checked_broadcast(s.select("anchor").distinct())
+    d = docs.select("doc_id", F.split(F.lower(normalize_ws(F.col("text"))), " ").alias("w"))
+    runs = F.transform(F.sequence(F.lit(0), F.size("w") - ANCHOR_WORDS), lambda i: F.xxhash64(*(F.get("w", i + k) for k in range(ANCHOR_WORDS))))
+    runs = F.when(F.size("w") >= ANCHOR_WORDS, runs).otherwise(F.array().cast("array<bigint>"))
+    parts = F.transform(F.filter("w", lambda x: F.char_length(x) >= longest), lambda x: F.transform(F.sequence(F.lit(1), F.char_length(x) - ANCHOR_CHARS + 1), lambda i: F.xxhash64(F.lit("part"), F.substr(x, i, F.lit(ANCHOR_CHARS)))))
+    found = d.select("doc_id", F.explode(F.array_distinct(F.concat(runs, F.flatten(parts)))).alias("anchor")).join(index, "anchor")
+    candidates = checked_broadcast(found.join(checked_broadcast(s), "anchor").select("doc_id", "item_id", "s").distinct())
+    hits = docs.select("doc_id", F.lower(normalize_ws(F.col("text"))).alias("t")).join(candidates, "doc_id").where(F.contains("t", "s"))
+    return hits.select("doc_id", "item_id", "s").distinct().groupBy("doc_id", "item_id").agg(F.count("*").alias("segments"))

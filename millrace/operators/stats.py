@@ -11,23 +11,17 @@ def order_statistics(df: DataFrame, column: str) -> DataFrame:
 
     Values are counted first, so the running count goes over distinct values only (a bounded domain such as window sizes)."""
     counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("long").alias("v")).agg(F.count("*").alias("c"))
-    values = counted.agg(F.sort_array(F.collect_list(F.struct("v", "c"))).alias("h"))
-    zero = F.struct(F.lit(0).cast("long").alias("n"), F.array().cast("array<struct<v:bigint,upto:bigint>>").alias("a"))
-
-    def add(s, x):
-        upto = s["n"] + x["c"]
-        return F.struct(upto.alias("n"), F.concat(s["a"], F.array(F.struct(x["v"].alias("v"), upto.alias("upto")))).alias("a"))
-
-    s = values.select(F.aggregate("h", zero, add).alias("s"), F.aggregate("h", F.lit(0).cast("long"), lambda t, x: t + x["v"] * x["c"]).alias("total"))
-    n = F.col("s.n")
+    upto = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    total = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    s = counted.select("v", "c", upto.alias("upto"), F.sum("c").over(total).alias("n"))
 
     def item(at):
-        return F.get(F.filter("s.a", lambda x: x["upto"] > at), F.lit(0))["v"]
+        return F.min(F.when(F.col("upto") > at, F.col("v")))
 
-    some = n > 0
-    return s.select(
-        n.alias("n"), F.when(some, F.col("total")).alias("total"), item(F.lit(0)).alias("least"), item(F.floor(n / 2)).alias("p50"),
-        item(F.floor(n * F.lit(0.95))).alias("p95"), item(n - 1).alias("most"),
+    n = F.col("n")
+    return s.agg(
+        F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.sum(F.col("v") * F.col("c")).alias("total"), F.min("v").alias("least"), item(F.floor(n / 2)).alias("p50"),
+        item(F.floor(n * F.lit(0.95))).alias("p95"), F.max("v").alias("most"),
     )
 
 

@@ -60,8 +60,8 @@ _DECORATED = "text || CASE doc_id % 7 " + " ".join(f"WHEN {i} THEN {_sql_text(d)
 
 
 def clean_text_decorated(spark, sf_dir):
-    t = T.clean_text(decorated(F.col("doc_id"), F.col("text")))
-    return docs(spark, sf_dir).select("doc_id", F.char_length(t).cast("long").alias("n_clean_chars"), F.md5(t).alias("clean_md5"))
+    t = docs(spark, sf_dir).select("doc_id", T.clean_text(decorated(F.col("doc_id"), F.col("text"))).alias("t"))
+    return t.select("doc_id", F.char_length("t").cast("long").alias("n_clean_chars"), F.md5("t").alias("clean_md5"))
 
 
 def _clean_sql() -> str:
@@ -91,14 +91,27 @@ FRONT = [
 CONTENTS = "Sommaire de ce livre\nChapitre premier, où tout commence\nChapitre deux, la suite\nChapitre trois, encore\nChapitre quatre, la fin de tout"
 
 
-def front_matter_filter(spark, sf_dir):
+def _front_items(spark, sf_dir):
     end = F.lit("")
     for i, d in enumerate(FRONT):
         end = F.when(F.col("doc_id") % 11 == i, F.lit(d)).otherwise(end)
     d = docs(spark, sf_dir).select("doc_id", F.concat("text", end).alias("t"))
-    d = d.unionByName(spark.createDataFrame([(-1, CONTENTS)], "doc_id long, t string")).select("doc_id", T.strip(F.col("t")).alias("t"))
-    c = F.col("t")
-    return d.select("doc_id", classify.is_metadata(c).alias("is_metadata"), classify.is_table_of_contents(c).alias("is_toc"), classify.is_front_matter(c, [r"^REMARQUE", r"^AVANT-PROPOS", r"^Table des matières"]).alias("is_front_matter"))
+    return d.unionByName(spark.createDataFrame([(-1, CONTENTS)], "doc_id long, t string")).select("doc_id", T.strip(F.col("t")).alias("t"))
+
+
+def front_matter_filter(spark, sf_dir):
+    starts = [r"^REMARQUE", r"^AVANT-PROPOS", r"^Table des matières"]
+    d = _front_items(spark, sf_dir).select("doc_id", classify.front_matter(F.col("t"), starts).alias("f"))
+    return d.select("doc_id", F.col("f.metadata").alias("is_metadata"), F.col("f.contents").alias("is_toc"), F.col("f.any").alias("is_front_matter"))
+
+
+def front_matter_content(spark, sf_dir):
+    """The whole preset of openings on items of books, five documents each; what is no front matter, joined in order."""
+    opening = F.lit("")
+    for i, d in enumerate(OPENINGS):
+        opening = F.when(F.col("doc_id") % 23 == i, F.lit(d)).otherwise(opening)
+    items = docs(spark, sf_dir).select(F.floor(F.col("doc_id") / 5).cast("long").alias("book"), "doc_id", F.concat(opening, F.col("text")).alias("text"))
+    return classify.content_text(items, "book", "doc_id").select("book", "n_items", F.md5("text").alias("content_md5"))
 
 
 def _front_sql() -> str:
@@ -111,6 +124,33 @@ c AS (SELECT *, len(l) BETWEEN 5 AND 60 AND len(list_filter(l, lambda x: length(
 SELECT doc_id, is_metadata, is_toc, length(t) < 100 OR is_metadata OR is_toc OR regexp_matches(t, '(?m)^REMARQUE|^AVANT-PROPOS|^Table des matières') AS is_front_matter FROM c"""
 
 
+#: One opening for each pattern of the preset, by the id.
+OPENINGS = [
+    "OEUVRES D'ANNE\n",
+    "ŒUVRES D’ANNE\n",
+    "x\nREMARQUE\n",
+    "© Éditions Neuves\n",
+    "Éditions Gallimard\n",
+    "Tous droits de traduction réservés\n",
+    "GALLIMARD\n",
+    "AVANT-PROPOS\n",
+    "Table des matières\n",
+    "GALLIMARD et la suite ",
+]
+_STARTS = classify.front_matter_starts()
+
+
+def _content_sql() -> str:
+    text = "CASE doc_id % 23 " + " ".join(f"WHEN {i} THEN {_sql_text(d)}" for i, d in enumerate(OPENINGS)) + " ELSE '' END || text"
+    starts = " OR ".join(f"regexp_matches(s, {S.q('(?m)' + p)})" for p in _STARTS)
+    return rf"""
+WITH a AS (SELECT doc_id // 5 AS book, doc_id, {text} AS t FROM documents), b AS (SELECT *, {S.strip("t")} AS s FROM a),
+c AS (SELECT *, list_filter(list_transform(string_split(s, chr(10)), lambda x: {S.strip("x")}), lambda x: x <> '') AS l FROM b),
+d AS (SELECT *, len(l) BETWEEN 5 AND 60 AND len(list_filter(l, lambda x: length(x) < 50)) / greatest(len(l), 1) > 0.9 AS toc FROM c)
+SELECT book::BIGINT AS book, count(*)::BIGINT AS n_items, md5(string_agg(t, chr(10) || chr(10) ORDER BY doc_id)) AS content_md5 FROM d
+WHERE NOT (length(s) < 100 OR {S.hits("s", METADATA, "i")} >= 2 OR toc OR {starts}) GROUP BY 1"""
+
+
 FOOTNOTES = "\n\n1. À propos de rien\nsuite de la note\n\nChapitre 3\n1.2 Titre simple\n|12 x\n*\n7\n2. ordinaire\n3. Je n'ai pas lu\nencore\n"
 
 
@@ -161,6 +201,13 @@ def html_to_text(spark, sf_dir):
     return html_text(pages, "page_id", "html", drop=[("div", "ad"), ("nav", None), ("script", None), ("style", None), ("footer", None)])
 
 
+_REMOVED = r"<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<nav\b.*?</nav>|<footer\b.*?</footer>|<div class=\"ad\">.*?</div>|<!DOCTYPE[^>]*>"
+HTML_SQL = rf"""
+WITH a AS (SELECT page_id, string_split_regex(regexp_replace(html, {S.q("(?s)" + _REMOVED)}, '', 'g'), '<[^>]*>') AS p FROM pages),
+b AS (SELECT page_id, list_filter(list_transform(p, lambda x: {S.strip("replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&')")}), lambda x: x <> '') AS p FROM a)
+SELECT page_id, array_to_string(p, chr(10)) AS text FROM b"""
+
+
 def page_headers(spark, sf_dir):
     """Page by page removal of running headers and page numbers, pages joined again in order."""
     d = docs(spark, sf_dir).withColumn("page_no", F.col("doc_id") % 5).withColumn("book", F.floor(F.col("doc_id") / 5).cast("long"))
@@ -192,6 +239,7 @@ QUERIES = {
     "corpus_word_totals": corpus_word_totals,
     "clean_text_decorated": clean_text_decorated,
     "front_matter_filter": front_matter_filter,
+    "front_matter_content": front_matter_content,
     "footnote_block_removal": footnote_block_removal,
     "marker_slice": marker_slice,
     "sentence_split_strict": _sentence_query(T.sentences_strict),
@@ -205,10 +253,12 @@ SQL = {
     "corpus_word_totals": f"SELECT source, sum({S.wc('t')})::BIGINT AS n_words, sum(length(text))::BIGINT AS n_text_chars, count(*)::BIGINT AS n_docs, grouping(source)::INT AS is_total FROM (SELECT *, {S.norm('text')} AS t FROM documents) GROUP BY ROLLUP (source)",
     "clean_text_decorated": _clean_sql(),
     "front_matter_filter": _front_sql(),
+    "front_matter_content": _content_sql(),
     "footnote_block_removal": _footnote_sql(),
     "marker_slice": MARKER_SQL,
     "sentence_split_strict": _sentence_sql(True),
     "sentence_split_loose": _sentence_sql(False),
     "page_headers": PAGE_SQL,
     "letters_by_sender": LETTER_SQL,
+    "html_to_text": HTML_SQL,
 }

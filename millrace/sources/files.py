@@ -1,9 +1,9 @@
 """Readers and writers: whole texts, JSON lines (tolerant and strict), required and optional files, safe rewrites."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import preview, word_count
+from ..functions.text import SPACE, preview, regex, strip, word_count
 from ..streaming.incremental import exists
 
 MESSAGES = "messages array<struct<role:string,content:string>>"
@@ -58,6 +58,60 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+def append_jsonl(df: DataFrame, path: str) -> None:
+    """Add rows to a folder of JSON lines; what stands there stays. A failed job leaves nothing behind."""
+    write_jsonl(df, path, "append")
+
+
+def write_chunks(df: DataFrame, path: str, text: str = "text", mode: str = "overwrite") -> None:
+    """JSON lines with white space cut off the right end of the text; letters stay as they are, unescaped."""
+    write_jsonl(df.withColumn(text, F.regexp_replace(text, regex(rf"{SPACE}+$"), "")), path, mode)
+
+
+def write_small(spark: SparkSession, path: str, content: str) -> None:
+    """A small file (a configuration, an index) that the driver writes to any store that Spark can reach."""
+    p = _path(spark, path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(content.encode()))
+    finally:
+        out.close()
+
+
+def read_config(spark: SparkSession, path: str, schema: str, **overrides) -> dict:
+    """The settings of one JSON file by schema: a given override wins, a setting that the file lacks is null. Raises if the file is missing
+    or no JSON object."""
+    require(spark, path)
+    row = spark.read.schema(schema).option("mode", "FAILFAST").json(path, multiLine=True).first()
+    return {k: overrides.get(k, v) for k, v in row.asDict(recursive=True).items()}
+
+
+def file_dimension(spark: SparkSession, files: dict[str, str]) -> DataFrame:
+    """(name, stem) of a map from names to file names."""
+    return spark.createDataFrame([(n, f.rsplit(".", 1)[0]) for n, f in files.items()], "name string, stem string")
+
+
+def read_dimension(spark: SparkSession, folder: str, files: dict[str, str]) -> DataFrame:
+    """(name, found, text) for every name of the map; a missing file gives a row without a text."""
+    dim, (texts, missing) = file_dimension(spark, files), read_named(spark, folder, files)
+    if texts is None:
+        return dim.select("name", F.lit(False).alias("found"), F.lit(None).cast("string").alias("text"))
+    return dim.join(texts.withColumnRenamed("source", "name"), "name", "left").select("name", (~F.col("name").isin(missing)).alias("found"), "text")
+
+
+def literal_rows(spark: SparkSession, content: str) -> DataFrame:
+    """(pos, text): the lines of a literal, stripped, blank ones left out, each text once at its first place (from 0)."""
+    lines = spark.range(1).select(F.posexplode(F.split(F.lit(content), "\n")).alias("at", "text")).select("at", strip(F.col("text")).alias("text"))
+    first = lines.where("text <> ''").groupBy("text").agg(F.min("at").alias("at"))
+    return first.select((F.row_number().over(Window.orderBy("at")) - 1).alias("pos"), "text")
+
+
+def read_saved(spark: SparkSession, path: str) -> DataFrame:
+    """(source, text): the texts that save_texts wrote, one row for each file, without the line feed at its end."""
+    files = spark.read.schema("value string, source string").text(path, wholetext=True)
+    return files.select("source", F.regexp_replace("value", "\n\\z", "").alias("text"))
+
+
 def save_texts(df: DataFrame, path: str) -> DataFrame:
     """Write the texts by source; returns words and characters of each."""
     df.select("text", "source").write.mode("overwrite").partitionBy("source").text(path, lineSep="\n")

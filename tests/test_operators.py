@@ -173,3 +173,64 @@ def test_run_asks_for_answers_only_where_questions_pass(spark, tmp_path):
     got = {r["k"]: r["status"] for r in runs.metadata(run, "k").collect()}
     assert got == {0: "api_error_question", 1: "skip_question_model", 2: "invalid_question", 3: "local_error_answer", 4: "copy", 5: "invalid_answer:too_short", 6: "ok"}
     assert [(r["k"], r["messages"][1]["content"]) for r in runs.records(run, "k").collect()] == [(6, long)]
+
+
+def test_long_segments_stand_anywhere(spark):
+    from millrace.operators import overlap
+
+    long = "one sentence of the benchmark that is quite long and has many different words in it until the very end of all."
+    few = "x" * 50 + " " + "y" * 60 + "."
+    one = "z" * 95 + "!"
+    items = [(1, f"Short. {long} {few} {one}"), (2, None), (3, "")]
+    docs = [(1, f"abc{long.upper()}def"), (2, f"pre{few}post and  pre{one}post"), (3, long[:-3]), (4, f"{long}\n{long}"), (5, None), (6, ""), (7, "y" * 60 + " " + "x" * 50), (8, few.replace(" ", " \t "))]
+    got = overlap.corpus_long_segments(spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == [(1, 1, 1), (2, 1, 2), (4, 1, 1), (8, 1, 1)]
+
+
+def test_large_sides_are_not_broadcast(spark):
+    from millrace.operators import overlap
+
+    def plan(df):
+        return df._jdf.queryExecution().analyzed().toString()
+
+    df = spark.createDataFrame([(1, "x" * 1000)] * 3, "a long, b string")
+    assert "ResolvedHint" in plan(overlap.checked_broadcast(df)) and "ResolvedHint" not in plan(overlap.checked_broadcast(df, most_bytes=2000)) + plan(overlap.checked_broadcast(df, most_rows=2))
+
+
+def test_cleaner_runs_once(spark):
+    from millrace.functions import text
+    from millrace.operators import classify
+
+    def optimized(c):
+        return spark.createDataFrame([("x",)], "text string").select(c.alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+
+    assert optimized(text.clean_text(F.col("text"))).count("fondationlaposte") == 1
+    assert optimized(classify.front_matter(F.col("text"))).count("distributed proofreaders") == 1
+
+
+def test_cursors_and_progress(spark):
+    from millrace.operators import cursor
+
+    rows = [("a", i, i in (1, 3)) for i in range(6)] + [("b", 0, False)]
+    df = spark.createDataFrame(rows, "key string, pos long, ok boolean")
+
+    def after(policy, start=0):
+        return {r[0]: r[1] for r in cursor.committed(df, "key", "pos", F.col("ok"), policy, start).collect()}
+
+    assert after("success") == {"a": 4, "b": 0} and after("every") == {"a": 6, "b": 1} and after("never", 2) == {"a": 2, "b": 2}
+    got = spark.createDataFrame([(5, 4), (4, 4), (None, 4), (-1, 4), (2, 4)], "c long, n long").select(cursor.resumed(F.col("c"), F.col("n"))).collect()
+    assert [r[0] for r in got] == [0, 4, 0, 0, 2]
+    with pytest.raises(ValueError):
+        cursor.committed(df, "key", "pos", F.col("ok"), "sometimes")
+
+
+def test_configuration_and_literals(spark, tmp_path):
+    from millrace.sources import files
+
+    path = f"file://{tmp_path}/c.json"
+    files.write_small(spark, path, '{"r": 3, "names": ["é"]}')
+    assert files.read_config(spark, path, "r int, names array<string>, seed int", seed=7) == {"r": 3, "names": ["é"], "seed": 7}
+    with pytest.raises(FileNotFoundError):
+        files.read_config(spark, f"file://{tmp_path}/none.json", "r int")
+    assert sorted(map(tuple, files.literal_rows(spark, " b \n\na\nb").collect())) == [(0, "b"), (1, "a")]
+    assert files.literal_rows(spark, "\n ").count() == 0
