@@ -1,11 +1,14 @@
 """Quality rules from tokenizer fertility, on top of plain counting rules.
 
 Public vocabularies tokenize each whole text: one of pieces with byte fallback, one of byte pairs for many languages. Characters per
-token, the share of tokens that are single bytes of a longer character, and the entropy of the tokens must lie in the bands of the
-text's script, for both.
+token, the share of tokens that are single bytes of a longer character, and the entropy of the tokens must lie in bands, for both: the
+fixed bands of the text's script, which only foreign matter leaves, and bands learned from all texts of the same language (the script,
+where none is given) and of about the same number of tokens. Those reach FENCE times the distance of the quartiles beyond them, so
+that texts whose words split unlike the rest of their language fall out whatever the language is.
 """
 
 import base64
+import re
 import unicodedata
 from functools import partial
 from math import inf
@@ -15,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import small_side, stored
 from .common import table
-from .hashing import pieces, window_hashes, word_hashes
+from .hashing import window_hashes, word_hashes
 
 _SPACES, _SYMBOLS = b" \t\n\r\x0b\x0c", b"#*$%&|<>"
 REPEAT_WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
@@ -33,8 +37,17 @@ BANDS = {
     "other": (0.25, 8.0, 0.95, 3.5),
     "none": (inf, 0.0, 0.0, inf),
 }
+#: Learned bands: how far they reach beyond the quartiles, in distances of the quartiles, and how many texts a group must have.
+FENCE, MIN_GROUP = 3.0, 30
+#: What has a learned band: below and above, or below only (a text is never too varied). Values are rounded to so many places.
+LEARNED, PLACES = {"chars_per_token": True, "chars_per_pair": True, "token_entropy": False, "pair_entropy": False}, 3
+#: Texts above so many characters are tokenized in pieces, cut at a space between two letters, where both vocabularies cut anyway.
+PIECE_CHARS = 1 << 20
+_CUT = re.compile(r"(?<=[^\W\d_]) (?=[^\W\d_])")
 _SCRIPTS = {"LATIN": "latin", "CYRILLIC": "cyrillic", "GREEK": "greek", "ARABIC": "arabic", "CJK": "cjk", "HIRAGANA": "cjk", "KATAKANA": "cjk", "HANGUL": "cjk"}
 _KNOWN: dict[str, str | None] = {}
+#: Bands that are broadcast at most; more are joined by shuffle.
+MAX_BROADCAST_ROWS = 100_000
 
 
 def _script_of(c: str) -> str | None:
@@ -87,6 +100,8 @@ def counting_rules(text: str) -> tuple[int, int, int, int, int]:
 class PieceVocabulary:
     """A sentencepiece model, given as its bytes."""
 
+    spaced = False
+
     def __init__(self, model: bytes):
         import sentencepiece
 
@@ -100,6 +115,8 @@ class PieceVocabulary:
 class PairVocabulary:
     """Byte pairs as a list of base64 tokens and ranks, given as its bytes, and the pattern that splits texts."""
 
+    spaced = True
+
     def __init__(self, ranks: bytes, pattern: str):
         import tiktoken
 
@@ -112,9 +129,18 @@ class PairVocabulary:
         return self.encoding.encode_ordinary(text)
 
 
+def text_pieces(text: str, spaced: bool):
+    """Parts of a long text; the space at a cut goes to the part after it if spaced, else to none. A text without such a space is whole."""
+    start = 0
+    while len(text) - start > PIECE_CHARS and (m := _CUT.search(text, start + PIECE_CHARS)):
+        yield text[start : m.start()]
+        start = m.start() if spaced else m.end()
+    yield text[start:]
+
+
 def fertility(vocabulary, text: str) -> tuple[int, float, float, float]:
     """(tokens, characters per token, byte-fallback share, entropy in bits per token)."""
-    ids = [np.array(vocabulary.ids(p.decode()), np.int32) for p in pieces(text.encode())]
+    ids = [np.array(vocabulary.ids(p), np.int32) for p in text_pieces(text, vocabulary.spaced)]
     ids = ids[0] if len(ids) == 1 else np.concatenate(ids)
     if not len(ids):
         return 0, 0.0, 0.0, 0.0
@@ -133,7 +159,7 @@ def verdict(kind: str, tokens: int, chars_per_token: float, fallback: float, ent
     return low <= chars_per_token <= high and fallback <= most_bytes and (tokens < MIN_TOKENS or entropy >= least_bits)
 
 
-_OUT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, script string, n_tokens long, chars_per_token double, fallback_share double, token_entropy double, n_pair_tokens long, chars_per_pair double, pair_fallback_share double, pair_entropy double"
+_OUT = "doc_id long, language string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, in_script boolean, script string, n_tokens long, chars_per_token double, fallback_share double, token_entropy double, n_pair_tokens long, chars_per_pair double, pair_fallback_share double, pair_entropy double"
 
 
 def _rules(batches, files):
@@ -146,18 +172,32 @@ def _rules(batches, files):
             counts = counting_rules(text)
             failed = counts[0] < MIN_WORDS or 100 * counts[4] > MAX_REPEAT_PERCENT * counts[0]
             kind, stats = script(text), [fertility(v, text) for v in vocabularies]
-            rows.append((*counts, failed, not failed and all(verdict(kind, *x) for x in stats), kind, *stats[0], *stats[1]))
+            rows.append((*counts, failed, all(verdict(kind, *x) for x in stats), kind, *stats[0], *stats[1]))
         columns = [pa.array(c) for c in zip(*rows, strict=True)] if rows else []
         if rows:
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[x.split()[0] for x in _OUT.split(", ")])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], names=[x.split()[0] for x in _OUT.split(", ")])
+
+
+def learned_bands(stats: DataFrame) -> DataFrame:
+    """(grp, size, and low_x, high_x of each learned value) of the groups of at least MIN_GROUP texts that pass the base rules. Quartiles
+    are exact over rounded values, of which a group has a bounded number, and are combined before the shuffle."""
+    columns = [F.round(c, PLACES).alias(c) for c in LEARNED]
+    found = stats.where("not base_failed").select("grp", "size", *columns).groupBy("grp", "size").agg(F.count("*").alias("n"), *(F.percentile(c, F.array(F.lit(0.25), F.lit(0.75))).alias(c) for c in LEARNED))
+    bounds = []
+    for c, both in LEARNED.items():
+        low, high = F.get(c, F.lit(0)), F.get(c, F.lit(1))
+        bounds += [(low - FENCE * (high - low)).alias(f"low_{c}"), (high + FENCE * (high - low)).alias(f"high_{c}") if both else F.lit(inf).alias(f"high_{c}")]
+    return found.where(F.col("n") >= MIN_GROUP).select("grp", "size", *bounds)
 
 
-def quality_rules(docs: DataFrame, pieces_path: str | None = None, pairs_path: str | None = None, pattern: str | None = None) -> DataFrame:
+def quality_rules(docs: DataFrame, pieces_path: str | None = None, pairs_path: str | None = None, pattern: str | None = None, language: str | None = None) -> DataFrame:
     """Counting rules and fertility bands for every row. pieces_path is a sentencepiece model, pairs_path a list of byte pairs with its
-    pattern (default: the installed public ones).
+    pattern (default: the public ones that the module public_tokenizers finds, where it is installed). language: a column of docs that
+    names the language; texts without one are grouped by script.
 
-    Null and empty texts count 0 words and fail the base rule. A text without letters is in no script's band. One row per input row;
-    extra columns are ignored."""
+    Null and empty texts count 0 words and fail the base rule. A text without letters is in no script's band; of scripts with as many
+    letters, the first by name counts. A long text counts whole. One row per input row, repeated ones alike; an empty table gives none.
+    Extra columns are ignored."""
     if not (pieces_path and pairs_path and pattern):
         import public_tokenizers as public
 
@@ -165,8 +205,16 @@ def quality_rules(docs: DataFrame, pieces_path: str | None = None, pairs_path: s
         pattern = pattern or public.PATTERN
     with open(pieces_path, "rb") as a, open(pairs_path, "rb") as b:
         files = docs.sparkSession.sparkContext.broadcast((a.read(), b.read(), pattern))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(partial(_rules, files=files), _OUT)
+    named = (F.col(language) if language else F.lit(None)).cast("string").alias("language")
+    stats = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", named).mapInArrow(partial(_rules, files=files), _OUT)
+    group = F.coalesce(F.concat(F.lit("language "), F.col("language")), F.concat(F.lit("script "), F.col("script")))
+    stats = stored(stats.withColumns({"grp": group, "size": F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int")}))
+    inside = F.col("in_script")
+    for c in LEARNED:
+        inside = inside & F.coalesce(F.round(c, PLACES).between(F.col(f"low_{c}"), F.col(f"high_{c}")), F.lit(True))
+    bands = small_side(stored(learned_bands(stats)), MAX_BROADCAST_ROWS)
+    return stats.join(bands, ["grp", "size"], "left").select(*stats.columns, (~F.col("base_failed") & inside).alias("kept")).drop("grp", "size", "in_script")
 
 
 def op9_fertility(spark, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents"))
+    return quality_rules(table(spark, sf_dir, "documents"), language="lang").drop("language")
