@@ -33,39 +33,47 @@ def _count(batches):
         for lang in set(langs):
             texts = [t.as_py().lower() for t, x in zip(batch.column(0), langs, strict=True) if x == lang and t.is_valid]
             c = counts.setdefault(lang, np.zeros((1 << BITS) + 1, np.int64))
-            for codes, _, ends, _ in blocks(texts):
+            for codes, starts, ends, owns, _ in blocks(texts):
                 for n in GRAMS:
-                    c += np.bincount(gram_buckets(codes, ends, n, BITS), minlength=(1 << BITS) + 1)
+                    c += np.bincount(gram_buckets(codes, starts, ends, owns, n, BITS), minlength=(1 << BITS) + 1)
     for lang, c in counts.items():
         at = np.flatnonzero(c[:-1])
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(c[at], pa.int64())], names=["lang", "bucket", "n"])
 
 
+def _dense(rows: pa.Table) -> pa.Table:
+    """One row for a language: its counts, bucket by bucket."""
+    c = np.zeros(1 << BITS, np.int64)
+    c[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+    return pa.table([rows["lang"].slice(0, 1), pa.array([c.tobytes()], pa.binary())], names=["lang", "counts"])
+
+
 def held_out(doc_id, modulus: int, remainder: int):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray]:
-    """(languages sorted, log-probabilities) from the text and lang of docs. Rows with a null text or lang teach nothing."""
+    """(languages sorted, log-probabilities) from the text and lang of docs. Rows with a null text or lang teach nothing; a hash of id and
+    text picks the sample, so rows without an id are picked like others, and equal rows together. All languages have the same prior, so
+    that a rare one is not lost. A lang column of more than MAX_LANGUAGES values is none, and raises."""
     docs = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null")
+    langs = [r[0] for r in docs.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     rows = docs.select("lang").count()
     share = F.lit(int(min(1.0, train_docs / max(rows, 1)) * 2**32)).cast("long")
-    sample = docs.where(F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(2**32)), F.lit(0)) < share)
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**32)) < share)
     counted = sample.select("text", "lang").mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    found = counted.toPandas()  # at most 2 ** BITS rows for each language
-    langs = sorted(found["lang"].unique())
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; the model is meant for {MAX_LANGUAGES} at most")
-    matrix = np.full((len(langs), 1 << BITS), 0.5)
-    for i, lang in enumerate(langs):
-        own = found[found["lang"] == lang]
-        matrix[i, own["bucket"].to_numpy()] += own["n"].to_numpy()
+    found = {r["lang"]: np.frombuffer(r["counts"], np.int64) for r in counted.groupBy("lang").applyInArrow(_dense, "lang string, counts binary").collect()}
+    langs = sorted(found)
+    matrix = np.array([found[x] for x in langs]).reshape(len(langs), 1 << BITS) + 0.5
     return langs, np.log(matrix / matrix.sum(1, keepdims=True)).astype(np.float32)
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str] = ("doc_id",)) -> DataFrame:
     """The keep columns, lang_pred and score of every row. A null text or one without a letter is `und` with score 0; so is every
-    text if the model knows no language. One row per input row; other columns are dropped."""
+    text if the model knows no language. Of languages that score the same, the first by name counts. A long text counts whole. One row
+    per input row, repeated ones alike; an empty table gives none. Other columns are dropped."""
     value = docs.sparkSession.sparkContext.broadcast(model)
     columns = [c for c in keep if c != "text"]
     out = docs.select(*columns, "text") if "text" not in keep else docs.select(*keep)

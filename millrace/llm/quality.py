@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import forget, stored
 from .common import table
 from .features import blocks, gram_buckets, sums, word_buckets
 from .language import held_out
@@ -28,10 +29,10 @@ def _features(batches):
         ats, ns = [], []
         for text in batch.column(1):
             c = np.zeros(2 << BITS, np.int64)
-            for codes, _, ends, _ in blocks([text.as_py()]):
+            for codes, starts, ends, owns, _ in blocks([text.as_py()]):
                 for n in GRAMS:
-                    c[: 1 << BITS] += np.bincount(gram_buckets(codes, ends, n, BITS), minlength=(1 << BITS) + 1)[:-1]
-                c[1 << BITS :] += np.bincount(word_buckets(codes, ends, BITS)[1], minlength=1 << BITS)
+                    c[: 1 << BITS] += np.bincount(gram_buckets(codes, starts, ends, owns, n, BITS), minlength=(1 << BITS) + 1)[:-1]
+                c[1 << BITS :] += np.bincount(word_buckets(codes, ends, owns, BITS)[1], minlength=1 << BITS)
             at = np.flatnonzero(c)
             ats.append(at.astype(np.int32))
             ns.append(c[at].astype(np.int32))
@@ -68,16 +69,20 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES) -> np.ndarray:
-    """Fit on a bounded sample of the labelled rows. Null texts and labels other than 0 and 1 teach nothing; without any label the
-    model scores 0.5 everywhere."""
-    labels = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", "quality")
-    rows = labels.count()
-    mean = docs.agg(F.avg(F.octet_length("text"))).first()[0] or 1.0
-    rate = min(1.0, train_docs / max(rows, 1), train_bytes / max(rows * mean, 1.0))
-    labels = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**32)) < F.lit(int(rate * 2**32)).cast("long"))
-    # The sampled labels are bounded by train_docs (in expectation), whatever the size of the corpus.
-    chosen = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(labels), "doc_id").select("quality", "text", "doc_id")
-    rows = chosen.mapInArrow(_with_id, "label int, at array<int>, n array<int>, doc_id long").orderBy("doc_id", "label").toArrow()
+    """Fit on a bounded sample of the labelled texts. Null texts and labels other than 0 and 1 teach nothing; without any label the
+    model scores 0.5 everywhere. Rows of equal id and text are one; a text with both labels teaches both. The rate of the sample
+    comes from the number and the bytes of the labelled texts themselves."""
+    labels = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", "quality").distinct()
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).where("text is not null")
+    keys = texts.select("doc_id", "key", F.octet_length("text").cast("long").alias("size")).distinct().join(labels, "doc_id")
+    keys = stored(keys)
+    rows, size = keys.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    rate = min(1.0, train_docs / max(rows, 1), train_bytes / max(size, 1))
+    picked = keys.where(F.pmod(F.xxhash64("doc_id", "key"), F.lit(2**32)) < F.lit(int(rate * 2**32)).cast("long")).select("doc_id", "key", "quality")
+    # The sample is bounded by train_docs (in expectation), whatever the size of the corpus.
+    chosen = texts.join(F.broadcast(picked), ["doc_id", "key"]).groupBy("doc_id", "key", "quality").agg(F.first("text").alias("text")).select("quality", "text", "doc_id")
+    rows = chosen.mapInArrow(_with_id, "label int, at array<int>, n array<int>, doc_id long").orderBy("doc_id", "label", "at").toArrow()
+    forget(keys)
     return train([(y, at.values.to_numpy(), n.values.to_numpy()) for y, at, n in zip(rows["label"].to_pylist(), rows["at"], rows["n"], strict=True)])
 
 
@@ -101,8 +106,8 @@ def _score(batches, model):
 
 
 def score(docs: DataFrame, model: np.ndarray) -> DataFrame:
-    """doc_id and score (0 to 1, higher: label 1 likelier) of every row. Null and empty texts have the model's offset alone. One row
-    per input row; extra columns are ignored."""
+    """doc_id and score (0 to 1, higher: label 1 likelier) of every row. Null and empty texts have the model's offset alone. A
+    long text counts whole. One row per input row, repeated ones alike; an empty table gives none. Extra columns are ignored."""
     value = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return docs.mapInArrow(partial(_score, model=value), "doc_id long, score double")
