@@ -119,6 +119,14 @@ def _frequencies(batches, wanted, repeated):
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)], names=["term", "key", "n"])
 
 
+def _terms(batches):
+    """The distinct terms of each text."""
+    for batch in batches:
+        for text, key in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            own = sorted(set(TERM.findall(text.as_py().lower()))) if text.is_valid else []
+            yield pa.RecordBatch.from_arrays([pa.array([key] * len(own), pa.int64()), pa.array(own, pa.string())], names=["key", "term"])
+
+
 def text_frequencies(texts: DataFrame, terms: DataFrame, broadcast_rows: int) -> DataFrame:
     """(term, n): distinct texts that hold each of the terms. texts: text and its hash, the key. At most broadcast_rows terms and keys of
     repeated texts are broadcast; more are joined by shuffle."""
@@ -129,7 +137,7 @@ def text_frequencies(texts: DataFrame, terms: DataFrame, broadcast_rows: int) ->
         each = texts.select("text", "key").mapInArrow(partial(_frequencies, wanted=wanted, repeated=repeated), "term string, key long, n long")
         each = each.groupBy("term", "key").agg(F.sum("n").alias("n")).select("term", F.when(F.isnull("key"), F.col("n")).otherwise(1).alias("n"))
         return each.groupBy("term").agg(F.sum("n").alias("n"))
-    each = texts.select("key", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)[^\W\d_]{3,}"), F.lit(0)))).alias("term"))
+    each = texts.mapInArrow(_terms, "key long, term string")
     return each.join(terms, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n"))
 
 
