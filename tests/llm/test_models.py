@@ -1,6 +1,8 @@
 """Language, quality, fertility, privacy, HTML and mixing."""
 
+import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -53,15 +55,99 @@ def test_language_ignores_ids_and_labels(spark):
     assert rows_of(language.identify(a, model, keep=["text"]), "text", "lang_pred", "score") == rows_of(language.identify(b, model, keep=["text"]), "text", "lang_pred", "score")
 
 
-def test_long_text_pieces_add_up(monkeypatch):
+@pytest.mark.parametrize("limit", [1, 37, 400])
+def test_long_text_pieces_add_up(monkeypatch, limit):
+    """Wherever a long text is cut, n-grams, words and repeated words count as in the whole text."""
     from millrace.llm import features
 
-    text = "abc déf " * 500
-    table = np.r_[np.random.default_rng(0).normal(size=1 << 10), 0.0].astype(np.float32)
-    whole, n = features.sums([text], [table], (1,), [table], 10)
-    monkeypatch.setattr(features, "LIMIT", 800)  # a multiple of the word length, so that no word is cut
-    parts, m = features.sums([text], [table], (1,), [table], 10)
-    assert n == m and np.allclose(whole, parts)
+    rng = random.Random(limit)
+    texts = ["".join(rng.choices("abé \n", k=rng.choice([0, 1, 5, 900]))) + rng.choice(["", " the the  the end", "   "]) for _ in range(40)] + ["x" * 700, None]
+    tables = [np.r_[np.random.default_rng(0).normal(size=1 << 10), 0.0].astype(np.float32)]
+    whole = features.sums(texts, tables, (1, 2, 3, 4), tables, 10)
+    monkeypatch.setattr(features, "LIMIT", limit)
+    parts = features.sums(texts, tables, (1, 2, 3, 4), tables, 10)
+    assert (whole[1] == parts[1]).all() and np.allclose(whole[0], parts[0])
+
+
+def brute_bayes(train, texts):
+    """Naive Bayes over n-grams of characters themselves; n-grams that a language lacks have the smoothed count."""
+    from collections import Counter
+
+    counts = {}
+    for text, lang in train:
+        counts.setdefault(lang, Counter()).update(text.lower()[i : i + n] for n in language.GRAMS for i in range(len(text) - n + 1))
+    size = {x: sum(c.values()) + 0.5 * (1 << language.BITS) for x, c in counts.items()}
+    out = []
+    for text in texts:
+        grams = [text.lower()[i : i + n] for n in language.GRAMS for i in range(len(text) - n + 1)]
+        out.append(max(sorted(counts), key=lambda x: sum(math.log((counts[x][g] + 0.5) / size[x]) for g in grams)))
+    return out
+
+
+def test_language_against_brute_force(spark):
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = language.held_out(df["doc_id"], 5, 0)
+    model = language.fit(df.where(~out))
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(df, model).collect()}
+    train = {r["doc_id"] for r in df.where(~out).collect()}
+    want = brute_bayes([(t, x) for i, t, x in rows if i in train], [t for _, t, _ in rows])
+    # Hashing may join n-grams, which can turn a close case.
+    assert sum(got[i] == w for (i, _, _), w in zip(rows, want, strict=True)) >= 0.99 * len(rows)
+
+
+def test_language_sample_of_rows_without_ids(spark):
+    df = spark.createDataFrame([(None, f"text number {i} of many", "en") for i in range(2000)], "doc_id long, text string, lang string")
+    _, small = language.fit(df, train_docs=200)
+    _, whole = language.fit(df, train_docs=2000)
+    assert small.shape == whole.shape and not np.allclose(small, whole)
+    with pytest.raises(ValueError):
+        language.fit(spark.createDataFrame([(i, "x", f"l{i}") for i in range(language.MAX_LANGUAGES + 1)], "doc_id long, text string, lang string"))
+
+
+def test_quality_training_against_brute_force():
+    """The same steps, one feature and one class at a time, on twenty texts."""
+    rng = random.Random(9)
+    rows = [(rng.randrange(2), np.array(sorted(rng.sample(range(60), 8)), np.int32), np.array([rng.randrange(1, 4) for _ in range(8)], np.int32)) for _ in range(20)]
+    got = quality.train(rows)
+    g = np.random.default_rng(0)
+    vectors = (g.uniform(-1, 1, (2 << quality.BITS, quality.DIM)) / quality.DIM)[:60].tolist()
+    out, bias, step = [[0.0, 0.0] for _ in range(quality.DIM)], [0.0, 0.0], 0
+    for _ in range(quality.EPOCHS):
+        for i in g.permutation(20):
+            y, at, n = rows[i]
+            share = [x / sum(n.tolist()) for x in n.tolist()]
+            rate = quality.RATE * (1 - step / (20 * quality.EPOCHS))
+            step += 1
+            mean = [sum(s * vectors[a][d] for a, s in zip(at, share, strict=True)) for d in range(quality.DIM)]
+            z = [sum(mean[d] * out[d][c] for d in range(quality.DIM)) + bias[c] for c in (0, 1)]
+            p = [math.exp(x) / sum(map(math.exp, z)) - (c == y) for c, x in enumerate(z)]
+            back = [sum(out[d][c] * p[c] for c in (0, 1)) for d in range(quality.DIM)]
+            for c in (0, 1):
+                bias[c] -= rate * 0.1 * p[c]
+                for d in range(quality.DIM):
+                    out[d][c] -= rate * mean[d] * p[c]
+            for a, s in zip(at, share, strict=True):
+                for d in range(quality.DIM):
+                    vectors[a][d] -= rate * math.sqrt(s) * back[d]
+    want = [sum(vectors[a][d] * (out[d][1] - out[d][0]) for d in range(quality.DIM)) for a in range(60)]
+    used = sorted({int(a) for _, at, _ in rows for a in at})
+    assert np.allclose([got[a] for a in used], [want[a] for a in used], atol=1e-4) and abs(got[-1] - (bias[1] - bias[0])) < 1e-4
+
+
+def test_quality_sample_is_bounded(spark):
+    """Labelled texts are longer than others, and one stands in many rows: the sample stays near its bytes."""
+    rows = [(i, "long labelled text " * 200) for i in range(200)] + [(7, "long labelled text " * 200)] * 300 + [(1000 + i, "short") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] * 2, "doc_id long, quality int")
+    seen = []
+    real, quality.train = quality.train, lambda rows: seen.append(len(rows)) or real(rows)
+    try:
+        quality.fit(docs, labels, train_bytes=20 * 3800)
+        quality.fit(docs, labels)
+    finally:
+        quality.train = real
+    assert 5 <= seen[0] <= 45 and seen[1] == 200
 
 
 def quality_rows():
@@ -133,6 +219,64 @@ def test_fertility_bands():
     assert not fertility.verdict("latin", 500, 2.5, 0.5, 6.0) and not fertility.verdict("latin", 500, 2.5, 0.0, 1.0) and not fertility.verdict("none", 5, 1.0, 0.0, 1.0)
 
 
+def vocabularies():
+    import public_tokenizers as public
+
+    with open(public.path("piece_bpe_32k.model"), "rb") as a, open(public.path("byte_bpe_multi_50k.tiktoken"), "rb") as b:
+        return [fertility.PieceVocabulary(a.read()), fertility.PairVocabulary(b.read(), public.PATTERN)]
+
+
+WORDS = "river mountain calm evening under the old bridge walked slowly a man and his dog thought about weather that had been good for many days while children played near water with small boats made of paper so nobody heard when first rain came down over fields where farmers still worked until dark then everyone went home".split()
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+def test_fertility_against_brute_force(spark):
+    """Tokens, shares, entropy, bands and kept of every text, worked out one by one; junk falls out of the bands of its language."""
+    from collections import Counter
+
+    rng = random.Random(8)
+    docs = [(i, prose(rng, rng.randrange(60, 120)), "en") for i in range(80)] + [(100 + i, prose(rng, 80), None) for i in range(5)]
+    docs += [(200, " ".join(w + rng.choice(["$$$", "%%%", "***"]) for w in prose(rng, 90).split()), "en"), (201, " | ".join(prose(rng, 70).split()), "en"), (202, "тихий вечер под старым мостом " * 2, "ru"), (203, None, "en"), (204, "漢" * 300, "zh")]
+    own = vocabularies()
+    rows, groups = {}, {}
+    for i, text, lang in docs:
+        text, found = text or "", []
+        for v in own:
+            ids = v.ids(text)
+            counts = Counter(ids).values()
+            entropy = -sum(c / len(ids) * math.log2(c / len(ids)) for c in counts)
+            found.append((len(ids), len(text) / len(ids) if ids else 0.0, sum(bool(v.byte[x]) for x in ids) / len(ids) if ids else 0.0, entropy if ids else 0.0))
+        counts = brute_rules(text)
+        failed = counts[0] < 20 or 100 * counts[4] > 30 * counts[0]
+        values = [round(x, 3) for x in (found[0][1], found[1][1], found[0][3], found[1][3])]
+        group = (lang or "script " + fertility.script(text), math.floor(math.log2(max(found[0][0], 1))))
+        rows[i] = (found, failed, values, group, all(fertility.verdict(fertility.script(text), *x) for x in found))
+        if not failed:
+            groups.setdefault(group, []).append(values)
+    bands = {g: [np.percentile([x[k] for x in v], [25, 75]) for k in range(4)] for g, v in groups.items() if len(v) >= fertility.MIN_GROUP}
+    got = {r["doc_id"]: r for r in fertility.quality_rules(spark.createDataFrame(docs, "doc_id long, text string, lang string"), language="lang").collect()}
+    for i, (found, failed, values, group, inside) in rows.items():
+        for k, (low, high) in enumerate(bands.get(group, ())):
+            inside = inside and values[k] >= low - 3 * (high - low) - 1e-9 and (k > 1 or values[k] <= high + 3 * (high - low) + 1e-9)
+        r = got[i]
+        assert (r["n_tokens"], r["n_pair_tokens"], r["base_failed"], r["kept"]) == (found[0][0], found[1][0], failed, inside and not failed)
+        want = [x for f in found for x in f[1:]]
+        assert np.allclose([r[c] for c in ("chars_per_token", "fallback_share", "token_entropy", "chars_per_pair", "pair_fallback_share", "pair_entropy")], want)
+    assert not got[200]["kept"] and not got[201]["kept"] and not got[200]["base_failed"] and sum(got[i]["kept"] for i in range(80)) >= 76
+
+
+def test_long_texts_tokenize_as_whole(monkeypatch):
+    rng = random.Random(3)
+    texts = [prose(rng, 400), "x" * 900, "漢字" * 400, "a  b   c\n\n d " * 100, prose(rng, 50) + "é" * 300 + " ñandú " + prose(rng, 50)]
+    own = vocabularies()
+    whole = [fertility.fertility(v, t) for v in own for t in texts]
+    monkeypatch.setattr(fertility, "PIECE_CHARS", 100)
+    assert [fertility.fertility(v, t) for v in own for t in texts] == whole
+
+
 def brute_spans(text):
     import re
 
@@ -190,6 +334,49 @@ def test_disclosure_alone_decides_in_varied_and_few_contexts(spark):
     assert "Osprey" in got[12] and got[13] == docs[13] and all("[TERM]" not in t for t in got[4:10])
 
 
+def brute_disclosure(docs):
+    """Mutual information of every entity and term near it, from the definition, over distinct texts."""
+    texts = sorted({t for _, t in docs if t is not None})
+    seen = {}
+    for t in texts:
+        for a, k, b in privacy.base_spans(t):
+            terms = privacy.context(t, a, b)
+            e = seen.setdefault(privacy.entity(t, a, k, b), {"texts": set(), "contexts": set(), "terms": {}})
+            e["texts"].add(t)
+            e["contexts"].add(tuple(terms))
+            for x in set(terms):
+                own = e["terms"].setdefault(x, (set(), set()))
+                own[0].add(t)
+                own[1].add(tuple(terms))
+    n, out = len(texts), set()
+    for name, e in seen.items():
+        information = math.log2(n / len(e["texts"]))
+        for x, (together, shared) in e["terms"].items():
+            holds = sum(x in privacy.TERM.findall(t.lower()) for t in texts)
+            if len(shared) < min(3, len(e["contexts"])) or len(e["contexts"]) == 1 and holds == 1 or information <= 0:
+                continue
+            if math.log2(len(together) * n / (len(e["texts"]) * holds)) >= privacy.MIN_DISCLOSURE * information - 1e-12:
+                out.add((name, x))
+    return out
+
+
+def test_disclosure_against_brute_force(spark):
+    rng = random.Random(13)
+    names = [f"{a}{b}" for a in ("Fal", "Kes", "Mer", "Osp") for b in ("con", "trel", "lin", "rey")]
+    places = [f"{a}{b}" for a in ("nor", "sud", "est", "wes") for b in ("ville", "stadt", "ham")]
+    docs = []
+    for i in range(260):
+        who = rng.randrange(16)
+        text = f"{rng.choice(['the', 'das', 'le'])} letter {rng.choice(places)} of {names[who] if rng.random() < 0.8 else 'nobody'} to p{who}@hq.example.org cafe\u0301 {rng.choice(places)} \u0939\u093f\u0928\u094d\u0926\u0940"
+        docs.append((i, text if i % 3 else f"{rng.choice(places)} {rng.choice(names)} {rng.choice(places)} note {i % 7}"))
+    docs += docs[:20] * 3 + [(None, None), (999, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute_disclosure(docs)
+    assert len(want) > 5
+    for rows in (200_000, 0):
+        assert {tuple(r) for r in privacy.disclosing_terms(df, rows).collect()} == want
+
+
 def test_privacy_edges(spark):
     got = privacy.sanitise(edge_documents(spark), keep=["doc_id"])
     assert got.count() == len(TEXTS)
@@ -273,33 +460,76 @@ def test_hostile_pages_cost_what_their_length_does(piece):
     assert time.perf_counter() - began < 10
 
 
-@pytest.mark.parametrize("weights", [{"a": 1}, {"a": 5, "b": 3.3, "c": 1.1, "d": 0.01}, {str(i): 1 + i % 3 for i in range(40)}])
+def brute_schedule(weights, blocks):
+    """Earliest deadline first, slot by slot over all sources."""
+    done, left, out, end = dict.fromkeys(blocks, 0), sorted(s for s in blocks if blocks[s]), [], None
+    while left:
+        total = sum(weights[s] for s in left)
+        first, base = dict(done), len(out)
+        while all(done[s] < blocks[s] for s in left):
+            slot = len(out) - base
+            released = [s for s in left if math.floor((done[s] - first[s]) * total / weights[s]) <= slot]
+            s = min(released, key=lambda x: (math.ceil((done[x] - first[x] + 1) * total / weights[x]), x))
+            out.append((s, done[s]))
+            done[s] += 1
+        left = [s for s in left if done[s] < blocks[s]]
+        end = len(out) if end is None else end
+    return out, end
+
+
+@pytest.mark.parametrize("weights", [{"a": 1}, {"a": 5, "b": 3.3, "c": 1.1, "d": 0.01}, {str(i): 1 + i % 3 for i in range(40)}, {"a": 2**0.5, "b": 3**0.5, "c": 1e-7}])
 def test_pfair_deviation_is_below_one_block(weights):
-    shares = mixing.rounded(weights, 1000)
-    assert sum(shares.values()) == 1000
-    done = dict.fromkeys(shares, 0)
-    for t, s in enumerate(mixing.pfair_schedule(shares), 1):
+    weights = {s: Fraction(w) for s, w in weights.items()}
+    blocks = {s: 30 + 60 * i for i, s in enumerate(weights)}
+    got, end = mixing.pfair_schedule(weights, blocks)
+    assert sorted(got) == sorted((s, k) for s, n in blocks.items() for k in range(n))
+    assert (got, end) == brute_schedule(weights, blocks)
+    done, total = dict.fromkeys(weights, 0), sum(weights.values())
+    for t, (s, _) in enumerate(got[:end], 1):
         done[s] += 1
-        assert all(abs(done[x] * 1000 - shares[x] * t) < 1000 for x in shares)
-    assert done == shares
+        assert all(abs(done[x] - weights[x] / total * t) < 1 for x in weights)
+
+
+def test_pfair_deviation_stays_below_one_block_on_long_schedules():
+    weights = {"a": Fraction(2**0.5), "b": Fraction(1), "c": Fraction(0.001)}
+    got, end = mixing.pfair_schedule(weights, {"a": 60_000, "b": 45_000, "c": 500})
+    done, total = dict.fromkeys(weights, 0), sum(weights.values())
+    for t, (s, _) in enumerate(got[:end], 1):
+        done[s] += 1
+        assert abs(done[s] - weights[s] / total * t) < 1
 
 
 def test_mix_places_every_row(spark):
     rows = [(i, "x" * (i % 50), "abc"[i % 7 % 3], i) for i in range(3000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, slot long").drop("slot")
-    got = mixing.mix(df, {"a": 0.6, "b": 0.3, "c": 0.1}, block_chars=500, period=100).toPandas()
+    got = mixing.mix(df, {"a": 0.6, "b": 0.3, "c": 0.1}, block_chars=500).toPandas()
     assert sorted(got.doc_id) == list(range(3000))
     slots = got.groupby("slot").source.nunique()
     assert (slots == 1).all()  # a slot belongs to one block
-    first = got[got.in_mix]
-    blocks = first.drop_duplicates(["source", "block"]).groupby("source").size()
-    total = first.slot.max() + 1
-    for s, w in {"a": 0.6, "b": 0.3, "c": 0.1}.items():
-        assert abs(blocks[s] - w * total) <= 1
+    chars = {s: sum(len(t) for _, t, x, _ in rows if x == s) for s in "abc"}
+    want, end = brute_schedule({"a": Fraction(0.6).limit_denominator(10**9), "b": Fraction(0.3).limit_denominator(10**9), "c": Fraction(0.1).limit_denominator(10**9)}, {s: -(-n // 500) for s, n in chars.items()})
+    at = {x: i for i, x in enumerate(want)}
+    assert all(at[r.source, r.block] == r.slot and (r.slot < end) == r.in_mix for r in got.itertuples())
     for _, own in got.sort_values(["block", "place"]).groupby("source"):
         assert own.slot.is_monotonic_increasing
 
 
+@pytest.mark.parametrize("weights", [None, {"s1": 3.0, "s2": 1.0, "s70": 2.0}])
+def test_many_sources_share_a_pool(spark, monkeypatch, weights):
+    monkeypatch.setattr(mixing, "PART_ROWS", 50)
+    monkeypatch.setattr(mixing, "MAX_BLOCKS", 200)
+    rows = [(i, "x" * (1 + i % 9), f"s{i % 80 if i % 2 else i % 3}") for i in range(4000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights, block_chars=10, max_sources=5).toPandas()
+    assert sorted(got.doc_id) == list(range(4000))
+    assert got.slot.max() < 205 and (got.groupby("slot").source.nunique() > 1).any()
+
+
+def test_mix_of_repeated_rows(spark):
+    df = spark.createDataFrame([(7, "same text", "a")] * 30 + [(None, "same text", None)] * 20 + [(8, None, "b"), (8, "", "b")], "doc_id long, text string, source string")
+    got = mixing.mix(df, block_chars=20).toPandas()
+    assert len(got) == 52 and got.slot.notna().all() and got[got.source == "a"].block.nunique() == 14
+
+
 def test_mix_edges(spark):
     got = mixing.mix(edge_documents(spark).drop("slot"))
     assert got.count() == len(TEXTS) and got.where("slot is null").count() == 0
