@@ -48,11 +48,15 @@ def positional_index(docs: DataFrame, terms: DataFrame, width: int) -> DataFrame
         "doc_id", F.xxhash64("text").alias("text_hash"), folded_words(F.col("text")).alias("w")
     ).select("doc_id", "text_hash", "w", F.explode_outer(F.sequence(F.lit(-1), F.size("w") - 1)).alias("pos"))
     words = words.withColumn("term", F.when(F.col("pos") >= 0, F.get("w", F.col("pos"))))
-    listed = checked_broadcast(terms.select("term", F.lit(True).alias("listed")), MAX_BROADCAST_ROWS)
-    hit = words.join(listed, "term", "left").where((F.col("pos") < 0) | F.col("listed"))
     lead = F.least(F.col("pos"), F.lit(width - 1))
     near = F.when(F.col("pos") >= 0, F.slice("w", F.greatest(F.col("pos") - width + 2, F.lit(1)), lead + width))
-    return hit.select("doc_id", "text_hash", "pos", "term", lead.alias("lead"), near.alias("near"), F.when(F.col("pos") < 0, F.size("w")).cast("long").alias("n_words"))
+    posting = ["doc_id", "text_hash", "pos", "term", lead.alias("lead"), near.alias("near"), F.when(F.col("pos") < 0, F.size("w")).cast("long").alias("n_words")]
+    terms = terms.select("term", F.lit(True).alias("listed"))
+    if terms.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:  # the words around are cut out of the few that stay
+        return words.join(F.broadcast(terms), "term", "left").where((F.col("pos") < 0) | F.col("listed")).select(*posting)
+    # Otherwise a posting is cut out of its text before the exchange, so that no text moves along with its words.
+    postings = words.select(*posting)
+    return postings.where("pos >= 0").join(terms, "term").select(*postings.columns).unionByName(postings.where("pos < 0"))
 
 
 def phrase_matches(index: DataFrame, anchors: DataFrame) -> DataFrame:
@@ -108,7 +112,7 @@ def op3_decontaminate(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "n_near_items")
 
 
 OP3_SQL = r"""
@@ -121,8 +125,13 @@ dw AS (SELECT doc_id, n, s, array_to_string(list_slice(w, s, s + n - 1), ' ') AS
        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, lens WHERE len(w) >= n)),
 hit AS (SELECT DISTINCT doc_id, item_id, s, dw.n FROM dw JOIN bw ON dw.g = bw.g AND dw.n = bw.n),
 pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY doc_id),
+fr AS (SELECT term, count(*) AS n FROM (SELECT unnest(w) AS term FROM d) GROUP BY term),
+gt AS (SELECT g, unnest(string_split(g, ' ')) AS term, unnest(range(len(string_split(g, ' ')))) AS off FROM (SELECT DISTINCT g FROM bw)),
+an AS (SELECT g, min(struct_pack(n := coalesce(n, 0), term := term, off := off)).term AS term FROM gt LEFT JOIN fr USING (term) GROUP BY g),
+dp AS (SELECT doc_id, w, p, w[p] AS term FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+nr AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM dp JOIN an USING (term) JOIN bw USING (g) WHERE list_has_all(list_slice(w, greatest(p - 9, 1), p + 9), string_split(g, ' ')) GROUP BY doc_id),
 it AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hit) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near_items
+FROM d LEFT JOIN nr USING (doc_id) LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
 """
