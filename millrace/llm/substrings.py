@@ -235,7 +235,9 @@ def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
     parts = max(MIN_PARTS, -(-size // PART_BYTES))
     # The three uses of the blocks are in one plan, so Spark shuffles the texts once and reuses the exchange.
     blocks = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(parts)).cast("int")).groupBy("block")
-    counted = blocks.applyInArrow(lambda t: _count(t, width, parts), "bucket int, block int, grams binary, counts binary")
+    # Fewer buckets than blocks: a block sends a row for each, and those rows must not grow with the square of the corpus.
+    buckets = max(MIN_PARTS, parts // 16)
+    counted = blocks.applyInArrow(lambda t: _count(t, width, buckets), "bucket int, block int, grams binary, counts binary")
     repeated = counted.groupBy("bucket").applyInArrow(_repeated, _REPLY)
     sent = blocks.cogroup(repeated.groupBy("block")).applyInArrow(lambda d, r: _send(d, r, width, 2 * parts), "shard int, block int, route long, content binary, doc_id long")
     answered = sent.groupBy("shard").applyInArrow(lambda t: _answer(t, width), _REPLY)
