@@ -38,7 +38,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     write(spark, tmp_path, docs, items)
     got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     kept = [(i, t) for i, t in docs if t and any(c.isalpha() for c in t)]
-    kept = [(i, t) for (i, t) in kept if i in {c for _, _, c in brute_components(kept)}]
+    kept = [(i, t) for (i, t) in kept if i in {c for _, _, c in brute_components(kept, size=5)}]
     hit = {r[0] for r in brute_decontamination(kept, items) if r[2]}
     assert hit and len(kept) < len(docs) - 3
     kept = {i: t for i, t in kept if i not in hit}

@@ -69,9 +69,11 @@ def brute_decontamination(docs, items, width=10):
     return sorted(out, key=repr)
 
 
-def test_decontamination(spark):
+@pytest.mark.parametrize("broadcast", [2_000_000, 0])
+def test_decontamination(spark, monkeypatch, broadcast):
     import random
 
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_ROWS", broadcast)
     rng = random.Random(3)
     vocabulary = [f"w{i}" for i in range(12)]
     items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 3, 9, 10, 11, 30])))) for i in range(25)] + [(90, None), (91, "W1, w2.W3")]
@@ -151,11 +153,11 @@ def test_suffix_automaton(spark):
         substrings.remove_reference(docs, reference, max_words=2)
 
 
-def brute_components(docs, percent=80):
+def brute_components(docs, percent=80, size=2):
     sets = []
     for _, t in docs:
         w = SPACED.findall((t or "").translate(FOLD))
-        sets.append({tuple(w[i : i + 2]) for i in range(len(w) - 1)} or ({tuple(w)} if w else set()))
+        sets.append({tuple(w[i : i + size]) for i in range(len(w) - size + 1)} or ({tuple(w)} if w else set()))
     ids = [i for i, _ in docs]
     label = {i: i for i in ids if i is not None}
 
