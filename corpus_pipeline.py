@@ -34,8 +34,9 @@ def keys(found: DataFrame) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates, the one with the smallest doc_id; equal rows become one."""
-    kept = keys(neardup.near_duplicates(docs).where("kept"))
+    """Keep one document of each group of near-duplicates (0.8 of their shingles of five words), the one with the smallest doc_id; equal
+    rows become one."""
+    kept = keys(neardup.near_duplicates(docs, size=5).where("kept"))
     return keyed(docs).join(kept, KEY, "left_semi").dropDuplicates(KEY).select(*COLUMNS)
 
 
