@@ -85,15 +85,15 @@ def counting_rules(text: str) -> tuple[int, int, int, int, int]:
                 seen.add(line)
     repeated = 0
     w = window_hashes(h, REPEAT_WINDOW)
-    if len(w) > 1:
+    ranked = np.sort(w)
+    if (ranked[1:] == ranked[:-1]).any():
         order = np.argsort(w)
-        same = w[order][1:] == w[order][:-1]
-        if same.any():
-            at = np.unique(np.r_[order[1:][same], order[:-1][same]])
-            edge = np.zeros(len(h) + 1, np.int64)
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + REPEAT_WINDOW, -1)
-            repeated = int((np.cumsum(edge[:-1]) > 0).sum())
+        same = ranked[1:] == ranked[:-1]
+        at = np.unique(np.r_[order[1:][same], order[:-1][same]])
+        edge = np.zeros(len(h) + 1, np.int64)
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + REPEAT_WINDOW, -1)
+        repeated = int((np.cumsum(edge[:-1]) > 0).sum())
     return len(h), word_chars, symbols, dup, repeated
 
 
@@ -108,8 +108,8 @@ class PieceVocabulary:
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.byte = np.array([self.sp.is_byte(i) for i in range(self.sp.get_piece_size())])
 
-    def ids(self, text: str) -> list[int]:
-        return self.sp.encode(text)
+    def ids(self, text: str) -> np.ndarray:
+        return self.sp.encode_as_numpy(text)
 
 
 class PairVocabulary:
@@ -125,8 +125,8 @@ class PairVocabulary:
         self.byte = np.zeros(max(tokens.values()) + 1, bool)
         self.byte[[r for t, r in tokens.items() if len(t) == 1 and t[0] > 127]] = True
 
-    def ids(self, text: str) -> list[int]:
-        return self.encoding.encode_ordinary(text)
+    def ids(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, disallowed_special=())
 
 
 def text_pieces(text: str, spaced: bool):
@@ -140,7 +140,7 @@ def text_pieces(text: str, spaced: bool):
 
 def fertility(vocabulary, text: str) -> tuple[int, float, float, float]:
     """(tokens, characters per token, byte-fallback share, entropy in bits per token)."""
-    ids = [np.array(vocabulary.ids(p), np.int32) for p in text_pieces(text, vocabulary.spaced)]
+    ids = [vocabulary.ids(p) for p in text_pieces(text, vocabulary.spaced)]
     ids = ids[0] if len(ids) == 1 else np.concatenate(ids)
     if not len(ids):
         return 0, 0.0, 0.0, 0.0

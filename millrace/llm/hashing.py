@@ -1,5 +1,7 @@
 """Vectorised word and window hashes. Everything is 64-bit and depends on content only."""
 
+from functools import cache
+
 import numpy as np
 import xxhash
 
@@ -36,12 +38,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+@cache
+def _factors(width: int) -> np.ndarray:
+    return np.random.default_rng(width).integers(1, 2**63, width, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of width consecutive word hashes, in order; empty where there are fewer words."""
     n = len(h) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    odd = np.random.default_rng(width).integers(1, 2**63, width, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    odd = _factors(width)
     total = np.zeros(n, np.uint64)
     for k in range(width):
         total += h[k : n + k] * odd[k]
