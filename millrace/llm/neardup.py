@@ -9,7 +9,7 @@ share one of these), and every pair of different components that is left in thes
 or bitmaps prove to be below the similarity. Components come from alternating large-star and small-star passes over the confirmed links.
 """
 
-from functools import partial, reduce
+from functools import cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,11 @@ SKETCH_BITS = 16
 WORDS, MOST, DEPTH = 8, 20_000_000, 2
 
 
+@cache
+def _factors(size: int) -> np.ndarray:
+    return np.random.default_rng(size).integers(1, 2**62, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct shingle hashes; a text of fewer words, but not none, has one shingle."""
     h = word_hashes(text.encode().lower()) if text else np.zeros(0, np.uint64)  # bytes.lower() changes A-Z only
@@ -42,7 +47,7 @@ def shingles(text: str | None, size: int) -> np.ndarray:
         return mixed(np.array([xxhash.xxh64_intdigest(h.tobytes(), seed=len(h))], np.uint64))
     if not len(h):
         return h
-    odd = np.random.default_rng(size).integers(1, 2**62, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    odd = _factors(size)
     n = len(h) - size + 1
     total = np.zeros(n, np.uint64)
     for k in range(size):

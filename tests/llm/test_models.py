@@ -245,7 +245,7 @@ def test_fertility_against_brute_force(spark):
     for i, text, lang in docs:
         text, found = text or "", []
         for v in own:
-            ids = v.ids(text)
+            ids = v.ids(text).tolist()
             counts = Counter(ids).values()
             entropy = -sum(c / len(ids) * math.log2(c / len(ids)) for c in counts)
             found.append((len(ids), len(text) / len(ids) if ids else 0.0, sum(bool(v.byte[x]) for x in ids) / len(ids) if ids else 0.0, entropy if ids else 0.0))
