@@ -1,8 +1,8 @@
 """License scan by diagonal voting (DataFrame functions only).
 
 Every rolling k-gram hash of a document is joined with the template positions that have it. A hit at word p of the document and
-word q of a template votes for diagonal p - q; neighbouring diagonals merge (small insertions and deletions), and a merged span
-counts when its votes cover enough of the template's k-grams.
+word q of a template votes for diagonal p - q, and neighbouring diagonals merge (small insertions and deletions). A merged span is verified
+by the template's places: it counts when enough of them stand in it, each place once, however often it was voted for.
 """
 
 from functools import reduce
@@ -38,6 +38,10 @@ TEMPLATES = [
 ]
 
 
+#: Template places in one word of bits.
+BITS = 62
+
+
 def gram_hash(words: Column, at: Column, k: int) -> Column:
     return F.xxhash64(*[F.get(words, at + i) for i in range(k)])
 
@@ -75,25 +79,28 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     Returns doc_id, n_words, n_base, first_word, last_word, base_labels array, labels array (base and verified templates, sorted),
     score (largest share of a template's k-grams found on one merged diagonal; 1 if a base phrase stands there), spans
     array<struct<label, first, last, share>>. Diagonals of one template at most max_shift words apart merge. Null text counts as
-    empty: no words, no labels, score 0. Repeated rows get equal rows; extra columns are ignored."""
+    empty: no words, no labels, score 0. A long text counts whole. Repeated rows get equal rows, an empty table gives none. Extra columns
+    are ignored."""
     grams = template_grams(docs.sparkSession, templates, k)
     hits = license_hits(docs.select("doc_id", "text"), grams, k)
     key = ["doc_id", "text_hash"]
     none = F.array(F.lit(None).cast("struct<template:int,at:int,label:string,n_grams:int>"))
     hits = hits.withColumn("place", F.explode(F.concat(F.when(F.col("base").isNotNull() | (F.col("pos") < 0), none).otherwise(F.array().cast("array<struct<template:int,at:int,label:string,n_grams:int>>")), F.coalesce("places", F.array().cast("array<struct<template:int,at:int,label:string,n_grams:int>>")))))
-    hits = hits.select(*key, "pos", "n_words", F.when(F.col("place").isNull(), F.col("base")).alias("base"), F.col("place.template").alias("template"), F.col("place.label").alias("label"), F.col("place.n_grams").alias("n_grams"), F.coalesce(F.col("pos") - F.col("place.at"), F.lit(0)).alias("diagonal"))
+    hits = hits.select(*key, "pos", "n_words", F.when(F.col("place").isNull(), F.col("base")).alias("base"), F.col("place.template").alias("template"), F.col("place.label").alias("label"), F.col("place.n_grams").alias("n_grams"), F.coalesce(F.col("pos") - F.col("place.at"), F.lit(0)).alias("diagonal"), F.col("place.at").alias("at"))
+    words = range(max((len(text.split()) for _, text in templates), default=0) // BITS + 1)
+    places = [F.when(F.col("at").between(BITS * i, BITS * i + BITS - 1), F.expr(f"shiftleft(1L, at - {BITS * i})")).otherwise(0) for i in words]
     names = sorted({label for _, label in BASE_PHRASES})
     bit = F.coalesce(*[F.when(F.col("base") == x, F.lit(1 << i)) for i, x in enumerate(names)], F.lit(0))
     # A row per document and diagonal; every later step keeps this partitioning by document.
     votes = hits.groupBy(*key, "template", "label", "n_grams", "diagonal").agg(
-        F.count("*").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.max("n_words").alias("n_words"), F.count("n_words").alias("copies"),
+        *(F.bit_or(x).alias(f"places{i}") for i, x in enumerate(places)), F.min("pos").alias("first"), F.max("pos").alias("last"), F.max("n_words").alias("n_words"), F.count("n_words").alias("copies"),
         F.count("base").alias("n_base"), F.min(F.when(F.col("base").isNotNull(), F.col("pos"))).alias("first_word"), F.max(F.when(F.col("base").isNotNull(), F.col("pos"))).alias("last_word"), F.bit_or(bit).alias("bases"),
     ).repartition(*key)
     by = Window.partitionBy(*key, "template").orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > max_shift, F.lit(False)).cast("int")
     votes = votes.withColumn("apart", apart).withColumn("cluster", F.sum("apart").over(by.rowsBetween(Window.unboundedPreceding, 0)))
     spans = votes.groupBy(*key, "template", "label", "cluster").agg(
-        F.least(F.sum("votes") / F.coalesce(F.first("n_grams"), F.lit(1)), F.lit(1.0)).alias("share"), F.min("first").alias("first"), (F.max("last") + k - 1).alias("last"),
+        (sum((F.bit_count(F.bit_or(f"places{i}")) for i in words), F.lit(0)) / F.coalesce(F.first("n_grams"), F.lit(1))).alias("share"), F.min("first").alias("first"), (F.max("last") + k - 1).alias("last"),
         *[f(c).alias(c) for c, f in (("n_words", F.max), ("copies", F.sum), ("n_base", F.sum), ("first_word", F.min), ("last_word", F.max))], F.bit_or("bases").alias("bases"),
     )
     span = F.when(F.col("template").isNotNull() & (F.col("share") >= min_share), F.struct("label", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), "share"))
@@ -125,10 +132,10 @@ WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCD
 p AS (SELECT doc_id, unnest(range(1, len(w) - {k - 2})) AS i, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: {gram})) AS g FROM d WHERE len(w) >= {k}),
 t AS (SELECT id, label, string_split(text, ' ') AS w FROM (VALUES {templates}) t(id, label, text)),
 tg AS (SELECT id, label, n, i, {gram} AS g FROM (SELECT *, len(w) - {k - 1} AS n, unnest(range(1, len(w) - {k - 2})) AS i FROM t WHERE len(w) >= {k})),
-v AS (SELECT doc_id, id, label, n, p.i - tg.i AS diagonal, count(*) AS votes FROM p JOIN tg USING (g) GROUP BY ALL),
+v AS (SELECT doc_id, id, label, n, p.i - tg.i AS diagonal, list(DISTINCT tg.i) AS places FROM p JOIN tg USING (g) GROUP BY ALL),
 a AS (SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, id ORDER BY diagonal) > {max_shift}, false)::INT AS apart FROM v),
 c AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, id ORDER BY diagonal) AS cluster FROM a),
-s AS (SELECT doc_id, label, least(sum(votes)::DOUBLE / n, 1.0) AS share FROM c GROUP BY doc_id, id, label, n, cluster),
+s AS (SELECT doc_id, label, len(list_distinct(flatten(list(places))))::DOUBLE / n AS share FROM c GROUP BY doc_id, id, label, n, cluster),
 b AS ({base}),
 bd AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY doc_id),
 l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM b UNION SELECT doc_id, label FROM s WHERE share >= {min_share}) GROUP BY doc_id),

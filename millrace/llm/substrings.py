@@ -229,7 +229,7 @@ def remove_repeats(docs: DataFrame, width: int = 13) -> DataFrame:
 
     Returns doc_id, n_words, n_removed, kept (the rest joined by one space), one row per input row. Null and empty texts have no
     words. Rows with a null doc_id keep all words and are nobody's reference. Rows that share a doc_id count as one document: they
-    remove nothing from each other. Extra columns are ignored."""
+    remove nothing from each other. A long text counts whole; an empty table gives none. Extra columns are ignored."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(MIN_PARTS, -(-size // PART_BYTES))

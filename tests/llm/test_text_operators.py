@@ -45,6 +45,16 @@ def test_license_diagonals_survive_edits(spark):
     assert got[2]["labels"] == [] and got[2]["score"] == 0
 
 
+def test_license_places_count_once(spark):
+    """A few words of a notice over and over do not make it up; a template of many words needs its places beyond the first ones, too."""
+    words = [f"t{i}" for i in range(150)]
+    texts = [" ".join(words[:8] * 40), " ".join(words), " ".join(words[:60]), " ".join(words[60:]), " ".join(words[:30] + words[8:20] + words[30:])]
+    df = spark.createDataFrame(list(enumerate(texts)) * 2, "doc_id long, text string")
+    found = licenses.scan_licenses(df, [("long", " ".join(words)), ("mit", "t0 t1 t2 t3 t4")])
+    got = sorted((r["doc_id"], round(max((s["share"] for s in r["spans"] if s["label"] == "long"), default=0.0), 6)) for r in found.collect())
+    assert got == [x for x in [(0, 0.0), (1, 1.0), (2, 0.0), (3, 0.0), (4, round(117 / 147, 6))] for _ in range(2)]
+
+
 def test_license_edges(spark):
     out = licenses.scan_licenses(edge_documents(spark))
     assert rows_of(out, "doc_id", "n_words") == sorted([(i, len(folded(t))) for i, t, _, _ in TEXTS], key=repr)
