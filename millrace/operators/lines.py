@@ -36,7 +36,7 @@ def join_pages(pages: DataFrame, book: str, page: str, headers: list[str]) -> Da
     return clean.groupBy(book).agg(F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["text"]), "\n").alias("text"))
 
 
-def letters(df: DataFrame, header: str, wanted: str) -> DataFrame:
-    """(doc_id, letter_no, body) of the letters whose header matches wanted; bodies are cleaned, empty ones dropped."""
-    out = df.select("doc_id", F.posexplode(sections(F.replace("text", F.lit("\u00a0"), F.lit(" ")), header)).alias("i", "s")).where(F.col("s.header").rlike(regex(wanted)))
-    return out.select("doc_id", (F.col("i") + 1).alias("letter_no"), clean_text(F.col("s.body")).alias("body")).where("body <> ''")
+def letters(df: DataFrame, header: str, wanted: str, clean=clean_text) -> DataFrame:
+    """(doc_id, letter_no, body) of the letters whose header matches wanted; bodies are cleaned by clean, empty ones dropped."""
+    out = df.select("doc_id", F.posexplode(sections(F.col("text"), header)).alias("i", "s")).where(F.col("s.header").rlike(regex(wanted)))
+    return out.select("doc_id", (F.col("i") + 1).alias("letter_no"), clean(F.col("s.body")).alias("body")).where("body <> ''")
