@@ -89,10 +89,11 @@ def vocabulary_windows(spark, sf_dir, path: str | None = None):
 
         path = public_tokenizers.path("byte_bpe_50k.json")
     d = tokenize.encode(docs(spark, sf_dir).select("doc_id", "text"), "text", path)
-    own = F.when(F.size("token_ids") <= 2048, F.col("text"))
-    w = segment.token_windows(d.withColumn("own", own).drop("text"), F.col("token_ids")).select("doc_id", "pos", "own", "tokens")
+    own = F.when(F.size("token_ids") <= 2048, F.md5("text"))
+    w = segment.token_windows(d.withColumn("own", own).drop("text"), F.col("token_ids"))
+    w = w.select("doc_id", "pos", "own", F.size("tokens").cast("long").alias("n_tokens"), F.when(F.col("own").isNull(), F.col("tokens")).alias("tokens"))
     w = tokenize.decode(w, "tokens", path)
-    return w.select("doc_id", "pos", F.size("tokens").cast("long").alias("n_tokens"), F.md5(F.coalesce("own", "decoded")).alias("text_md5"))
+    return w.select("doc_id", "pos", "n_tokens", F.coalesce("own", F.md5("decoded")).alias("text_md5"))
 
 
 def dry_run_sample(spark, sf_dir):

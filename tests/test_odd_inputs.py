@@ -1,8 +1,11 @@
 """Queries against their SQL twins on hand-written rows that the given tables hold rarely or not at all."""
 
+from types import SimpleNamespace
+
+import pyarrow as pa
 import pytest
 
-from millrace.operators import lines
+from millrace.operators import lines, tokenize
 from millrace.plans import catalogue
 from millrace.sources import markup
 
@@ -49,3 +52,22 @@ def test_html_decodes_what_the_twin_decodes(spark, tmp_path):
 def test_html_decodes_all_references_by_default():
     assert markup.text_of("<p>ver&amp</p><p>&eacute;<!-- x -->t&nbsp;</p><script>a && b</script>") == "ver&\né\nt\na && b"
     assert markup.text_of("<p>&eacute; &amp;</p><script>a && b &amp;</script>", (), {"&amp;": "&"}) == "&eacute; &\na && b &"
+
+
+def test_tokens_are_made_in_bounded_parts(monkeypatch):
+    tokenizers = pytest.importorskip("tokenizers")
+    t = tokenizers.Tokenizer(tokenizers.models.WordLevel({"a": 0, "b": 1, "?": 2}, unk_token="?"))
+    t.pre_tokenizer = tokenizers.pre_tokenizers.Whitespace()
+    value = SimpleNamespace(value=t.to_str().encode())
+    monkeypatch.setattr(tokenize, "CHUNK_BYTES", 6)
+    monkeypatch.setattr(tokenize, "CHUNK_TOKENS", 3)
+    texts = ["a b", "b", None, "", "a a a a a", "b x", "a"]
+    batch = pa.record_batch({"i": list(range(7)), "text": texts})
+    parts = list(tokenize._encode([batch, batch.slice(0, 0)], value, "text"))
+    assert [p.num_rows for p in parts] == [4, 1, 2]
+    rows = [r for p in parts for r in p.to_pylist()]
+    assert [r["text"] for r in rows] == texts and [r["token_ids"] for r in rows] == [[0, 1], [1], [], [], [0] * 5, [1, 2], [0]]
+    whole = pa.Table.from_batches(parts).combine_chunks().to_batches()
+    parts = list(tokenize._decode(whole, value, "token_ids"))
+    assert [p.num_rows for p in parts] == [4, 1, 2]
+    assert [r["decoded"] for p in parts for r in p.to_pylist()] == ["a b", "b", "", "", "a a a a a", "b ?", "a"]
