@@ -1,5 +1,11 @@
 """Readers and writers: whole texts, JSON lines (tolerant and strict), required and optional files, safe rewrites."""
 
+from functools import partial
+from urllib.parse import quote, unquote
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -106,15 +112,95 @@ def literal_rows(spark: SparkSession, content: str) -> DataFrame:
     return first.select((F.row_number().over(Window.orderBy("at")) - 1).alias("pos"), "text")
 
 
+def _store(uri: str):
+    """(file system, path) of a qualified path as Arrow opens it in Python workers; None where only Spark can."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    try:
+        return fs.FileSystem.from_uri(uri)
+    except (pa.ArrowException, OSError):
+        return None
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    p = _path(spark, path)
+    return str(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString())
+
+
+#: The name of a file without a source; quote() gives none that is just this.
+NO_SOURCE = "%"
+#: Bytes of texts that are read at once, a file at least.
+READ_BYTES = 4_000_000
+
+
+def _save(batches, uri):
+    store, root = _store(uri)
+    folder = f"{root}/part-{TaskContext.get().partitionId():05d}"
+    name, out, n = None, None, 0
+    for batch in batches:
+        for source, text in zip(batch.column("source"), batch.column("text"), strict=True):
+            stem = quote(source.as_py(), safe="") if source.is_valid else NO_SOURCE
+            if stem != name:
+                if out:
+                    out.close()
+                else:
+                    store.create_dir(folder)
+                name, out, n = stem, store.open_output_stream(f"{folder}/{stem}.txt"), n + 1
+            out.write(((text.as_py() or "") + "\n").encode())
+    if out:
+        out.close()
+    yield pa.record_batch({"n": pa.array([n], pa.int64())})
+
+
+def _saved(batches, uri):
+    store, root = _store(uri)
+
+    def rows(sources, texts):
+        return pa.record_batch({"source": pa.array(sources, pa.string()), "text": pa.array(texts, pa.string())})
+
+    for batch in batches:
+        for part in batch.column("id").to_pylist():
+            sources, texts, held = [], [], 0
+            for f in store.get_file_info(fs.FileSelector(f"{root}/part-{part:05d}", allow_not_found=True)):
+                with store.open_input_stream(f.path) as x:
+                    data = x.read()
+                stem = f.base_name.removesuffix(".txt")
+                sources.append(None if stem == NO_SOURCE else unquote(stem))
+                texts.append(data.removesuffix(b"\n").decode("utf-8", "replace"))
+                held += len(data)
+                if held > READ_BYTES:
+                    yield rows(sources, texts)
+                    sources, texts, held = [], [], 0
+            yield rows(sources, texts)
+
+
 def read_saved(spark: SparkSession, path: str) -> DataFrame:
-    """(source, text): the texts that save_texts wrote, one row for each file, without the line feed at its end."""
+    """(source, text): the texts that save_texts wrote, one row for each file, without the line feed at its end. A task reads the files
+    of one writing task, so the driver lists folders and never the files."""
+    uri = _qualified(spark, path)
+    if opened := _store(uri):
+        store, root = opened
+        n = max((int(f.base_name[5:]) + 1 for f in store.get_file_info(fs.FileSelector(root, allow_not_found=True)) if f.base_name.startswith("part-")), default=0)
+        return spark.range(0, n, 1, max(n, 1)).mapInArrow(partial(_saved, uri=uri), "source string, text string")
     files = spark.read.schema("value string, source string").text(path, wholetext=True)
     return files.select("source", F.regexp_replace("value", "\n\\z", "").alias("text"))
 
 
 def save_texts(df: DataFrame, path: str) -> DataFrame:
-    """Write the texts by source; returns words and characters of each."""
-    df.select("text", "source").write.mode("overwrite").partitionBy("source").text(path, lineSep="\n")
+    """Write the texts by source, a file for each source of a task, named by it; returns words and characters of each. Files go straight
+    to their places, as a folder, a checksum file and a process that sets rights for each cost far more than the texts. In a store
+    that Python workers cannot open, Spark writes a folder for each source."""
+    spark = df.sparkSession
+    uri = _qualified(spark, path)
+    if opened := _store(uri):
+        store, root = opened
+        if store.get_file_info(root).type != fs.FileType.NotFound:
+            store.delete_dir(root)
+        store.create_dir(root)
+        rows = df.select(F.col("source").cast("string").alias("source"), "text").sortWithinPartitions("source")
+        rows.mapInArrow(partial(_save, uri=uri), "n long").agg(F.sum("n")).collect()
+    else:
+        df.select("text", "source").write.mode("overwrite").partitionBy("source").text(path, lineSep="\n")
     return df.groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("n_words"), F.sum(F.char_length("text")).alias("n_text_chars"))
 
 

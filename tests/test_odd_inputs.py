@@ -7,7 +7,7 @@ import pytest
 
 from millrace.operators import lines, tokenize
 from millrace.plans import catalogue
-from millrace.sources import markup
+from millrace.sources import files, markup
 
 
 def both(spark, tmp_path, name, table, rows, schema):
@@ -71,3 +71,23 @@ def test_tokens_are_made_in_bounded_parts(monkeypatch):
     parts = list(tokenize._decode(whole, value, "token_ids"))
     assert [p.num_rows for p in parts] == [4, 1, 2]
     assert [r["decoded"] for p in parts for r in p.to_pylist()] == ["a b", "b", "", "", "a a a a a", "b ?", "a"]
+
+
+def test_saved_texts_are_files_of_their_own(spark, tmp_path):
+    rows = [("a/b", "un\ndeux\n"), ("é 1%", ""), (None, "x"), ("", "y\r\n z"), ("%", "p"), ("twice", "q"), ("twice", "r"), (".", None)]
+    df = spark.createDataFrame(rows, "source string, text string").coalesce(1)
+    files.save_texts(spark.createDataFrame([("old", "gone")], "source string, text string"), str(tmp_path / "out dir"))
+    counts = files.save_texts(df, str(tmp_path / "out dir"))
+    assert counts.count() == 7 and {r["source"] for r in counts.collect()} == {r[0] for r in rows}
+    got = {r["source"]: r["text"] for r in files.read_saved(spark, str(tmp_path / "out dir")).collect()}
+    assert {k: v for k, v in got.items() if k != "twice"} == {s: t or "" for s, t in rows if s != "twice"}
+    assert sorted(got["twice"].split("\n")) == ["q", "r"]
+    there = [p for p in (tmp_path / "out dir").rglob("*") if p.is_file()]
+    assert len(there) == 7 and all(p.name.endswith(".txt") for p in there)  # no other files beside them
+    assert files.read_saved(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_texts_in_a_store_of_spark_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_store", lambda uri: None)
+    files.save_texts(spark.createDataFrame([("a", "un\ndeux"), ("b", "")], "source string, text string"), str(tmp_path / "out"))
+    assert {tuple(r) for r in files.read_saved(spark, str(tmp_path / "out")).collect()} == {("a", "un\ndeux"), ("b", "")}
