@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
@@ -534,3 +535,40 @@ def test_mix_edges(spark):
     got = mixing.mix(edge_documents(spark).drop("slot"))
     assert got.count() == len(TEXTS) and got.where("slot is null").count() == 0
     assert mixing.mix(empty_documents(spark).drop("slot")).count() == 0
+
+
+@pytest.mark.parametrize("weights,most", [(None, 200), ({"s1": 3.0, "s2": 1.0, "s70": 2.0, "none": 5.0}, 200), (None, 12)])
+def test_every_source_of_many_has_blocks_of_its_own(spark, monkeypatch, weights, most):
+    for name, value in (("PART_ROWS", 50), ("MAX_BLOCKS", most), ("MAX_SOURCES", 5), ("GROUP_SOURCES", 30), ("SMALL", 10)):
+        monkeypatch.setattr(mixing, name, value)
+    rows = [(i, "x" * (1 + i % 9), f"s{i % 80 if i % 2 else i % 3}") for i in range(4000)]
+    rows += [(4000, None, "s1"), (4001, "", None)] + [(4002 + i, "y" * 90, f"t{i % 4}") for i in range(200)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights, block_chars=10).toPandas()
+    assert sorted(got.doc_id) == list(range(4202))
+    got["source"] = got.source.fillna("")
+    assert (got.groupby("slot")[["source", "block"]].nunique() == 1).all().all()
+    chars = Counter()
+    for _, text, source in rows:
+        chars[source or ""] += len(text or "")
+    size = max(10, -(-sum(chars.values()) // most))
+    blocks = {s: -(-max(n, 1) // size) for s, n in chars.items()}
+    for s, own in got.groupby("source"):
+        assert own.block.max() < blocks[s] and own.sort_values(["block", "place"]).slot.is_monotonic_increasing
+        held = {k: x for k, x in zip(own.block, own.place + own.block * size)}
+        assert all(k == min(x // size, blocks[s] - 1) for k, x in held.items())
+    assert got.slot.max() < 2 * most + 2 * len(blocks)
+    if most == 12:
+        return
+    # Slots are those of blocks, so a source's share at the end of the mix is that of its blocks: within two of its target.
+    target = {s: max(n, 1) ** 0.5 if weights is None else weights.get(s, 1.0) for s, n in chars.items()}
+    end, total = got[got.in_mix].slot.max() + 1, sum(target.values())
+    own = got[got.in_mix].groupby("source").block.max()
+    assert end > (20 if weights is None else 1)
+    for s in blocks:
+        assert abs(own.get(s, -1) + 1 - target[s] / total * end) < 2
+
+
+def test_schedule_of_many_sources_ends():
+    weights = mixing._fractions({str(i): (1 + i) ** 0.5 for i in range(1500)})
+    got, _ = mixing.pfair_schedule(weights, {s: 1 + i % 2 for i, s in enumerate(weights)})
+    assert len(got) == 2250 and len(set(got)) == 2250
